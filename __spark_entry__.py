@@ -32,7 +32,8 @@ SIZE = 60
 SERIES = ["event_type"]
 ORDER = ["ts", "event_id"]
 LINE_SERIES = ["l_returnflag"]
-LINE_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber"]
+# Order and line number do not tell all lines apart; with the part key they do.
+LINE_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey"]
 LINE_INPUTS = ["l_extendedprice", "l_quantity"]
 SWEEP = [480, 960, 1440]
 CUT_SWEEP = [90, 480, 1000]
@@ -146,7 +147,7 @@ cells AS (
   SELECT *, row_idx // 60 AS window_id, row_idx % 60 AS pos
   FROM (SELECT l_returnflag, l_quantity AS q, l_extendedprice AS p,
                row_number() OVER (PARTITION BY l_returnflag
-                                  ORDER BY l_shipdate, l_orderkey, l_linenumber) - 1 AS row_idx
+                                  ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey) - 1 AS row_idx
         FROM lineitem)
 ),
 fit AS (
@@ -162,7 +163,7 @@ fit AS (
 _IMAGES = """
 images AS (
   SELECT vec_id, CAST(label AS BIGINT) AS label,
-         list_transform(embedding, x -> CAST(floor(CAST(x AS DOUBLE) * 127 + 128) AS BIGINT)) AS image
+         [CAST(floor(CAST(x AS DOUBLE) * 127 + 128) AS BIGINT) FOR x IN embedding] AS image
   FROM embeddings
 )"""
 
@@ -790,10 +791,14 @@ def partitioned_dataset(spark, sf_dir):
     spread = sharding.partitioned_dataset(
         _events(spark, sf_dir).select("event_type", "value"), 10
     )
-    return spread.groupBy("event_type").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.round(F.sum("value"), 4).alias("total"),
-        F.count_distinct(F.spark_partition_id()).cast("int").alias("partitions"),
+    return (
+        spread.withColumn("at", F.spark_partition_id())
+        .groupBy("event_type")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.round(F.sum("value"), 4).alias("total"),
+            F.count_distinct("at").cast("int").alias("partitions"),
+        )
     )
 
 

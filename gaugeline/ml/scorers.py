@@ -61,9 +61,9 @@ def folded_classes(options: dict) -> Callable:
     k = int(options.get("classes", 10))
 
     def predict(x):
-        width = x.shape[1]
-        hot = (np.arange(width)[:, None] % k == np.arange(k)[None, :]).astype(np.float64)
-        return x.astype(np.float64) @ hot
+        flat = x.reshape(len(x), -1).astype(np.float64)
+        position = np.arange(flat.shape[1])
+        return flat @ (position[:, None] % k == np.arange(k)).astype(np.float64)
 
     return predict
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -16,7 +17,9 @@ from gaugeline.ml.scorers import Scorer, lookup
 BATCH_SIZE = 100
 
 
-def _size_checked(predict):
+def _checked(predict, n_inputs: int):
+    """``predict`` with the size check, and with its number of inputs spelled out for Spark."""
+
     def checked(*inputs):
         result = predict(*inputs)
         rows = len(inputs[0])
@@ -26,6 +29,9 @@ def _size_checked(predict):
             raise ValueError(f"output sizes {sizes} do not match the {rows} input rows")
         return result
 
+    checked.__signature__ = inspect.Signature(
+        inspect.Parameter(f"input_{i}", inspect.Parameter.POSITIONAL_ONLY) for i in range(n_inputs)
+    )
     return checked
 
 
@@ -52,15 +58,17 @@ def score(
     else:
         result_type = T.StructType([T.StructField(n, t) for n, t in scorer.outputs.items()])
 
+    inputs = name_list(inputs)
+    n_inputs = len(inputs)
+
     def make_predict_fn():
-        return _size_checked(factory(settings))
+        return _checked(factory(settings), n_inputs)
 
-    inputs = name_list(inputs)
     scored = predict_batch_udf(
         make_predict_fn,
         return_type=result_type,
         batch_size=batch_size,
-        input_tensor_shapes=[list(shape)] * len(inputs),
+        input_tensor_shapes=[list(shape)] * n_inputs,
     )
     return df.withColumn(output, scored(*cols(inputs)))
 
@@ -88,7 +96,7 @@ def score_shards(
     )
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        predict = _size_checked(factory(settings))
+        predict = _checked(factory(settings), 1)
         for batch in batches:
             for start in range(0, len(batch), batch_size):
                 part = batch.iloc[start : start + batch_size]
