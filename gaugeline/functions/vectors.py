@@ -44,7 +44,14 @@ def robust_scale(ordered: Column) -> Column:
 
 
 def robust_transform(values: Column, center: Column, scale: Column) -> Column:
-    return F.transform(values, lambda x: (x - center) / scale)
+    """``(x - center) / scale`` per item.
+
+    The state goes in as an array argument, not as a captured column: should the
+    optimizer inline its expression here, it is still evaluated once per array
+    and not once per item.
+    """
+    state = F.array_repeat(F.struct(center.alias("c"), scale.alias("s")), F.size(values))
+    return F.zip_with(values, state, lambda x, at: (x - at.getField("c")) / at.getField("s"))
 
 
 def robust_inverse(value: Column, center: Column, scale: Column) -> Column:

@@ -49,6 +49,10 @@ def score(
     ``shape`` is what the model expects of one row of each input, for example
     ``[60]``, ``[60, 1]`` or ``[28, 28, 1]``; columns hold flat arrays. A scorer with one output gives a plain column, one with several a struct
     with a field per output name. Every output must have one item per row.
+
+    The function is declared non-deterministic for the optimizer's sake only: a
+    filter on the result must not be pushed below it, which would run the model
+    a second time.
     """
     scorer: Scorer = lookup(signature)
     settings = dict(options or {})
@@ -69,7 +73,7 @@ def score(
         return_type=result_type,
         batch_size=batch_size,
         input_tensor_shapes=[list(shape)] * n_inputs,
-    )
+    ).asNondeterministic()
     return df.withColumn(output, scored(*cols(inputs)))
 
 

@@ -33,19 +33,22 @@ def lag_features(
     """
     inputs, series = name_list(inputs), name_list(series)
     windows = window_vectors(df, order, inputs, size, series, ahead=1, **options)
-    windows = windows.where(F.col("n") == size)
+    # Checked on the raw arrays, so that no filter is pushed through the scaling.
     following = F.get(col(f"{target}_ahead"), F.lit(0))
+    usable = (F.col("n") == size) & following.isNotNull()
+    for name in inputs:
+        usable = usable & F.forall(col(name), lambda x: x.isNotNull())
+    windows = windows.where(usable)
     if scaling == "robust":
         windows = robust_transform(robust_fit(windows, inputs), inputs)
         following = (following - col(f"{target}_center")) / col(f"{target}_scale")
         inputs = [f"{n}_scaled" for n in inputs]
     lags = F.concat(*cols(inputs)) if len(inputs) > 1 else col(inputs[0])
-    examples = windows.select(
-        *cols(series), "window_id", lags.alias("lags"), following.alias("label")
-    )
-    whole = F.col("label").isNotNull() & F.forall("lags", lambda x: x.isNotNull())
-    return examples.where(whole).select(
-        *cols(series), "window_id", array_to_vector("lags").alias("features"), "label"
+    return windows.select(
+        *cols(series),
+        "window_id",
+        array_to_vector(lags).alias("features"),
+        following.alias("label"),
     )
 
 
