@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark import keyword_only
+from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import LinearRegression
@@ -275,9 +275,15 @@ class WindowForecaster(Estimator, WindowParams, DefaultParamsReadable, DefaultPa
             self.getSeriesCols(),
             self.getScaling(),
         )
-        fitted = LinearRegression(
-            maxIter=self.getMaxIter() * self.getEpochs(), standardization=False
-        ).fit(examples.select("features", "label"))
+        # The fit passes over the examples more than once; packed windows are an
+        # eighth of the rows they came from.
+        examples = examples.select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            fitted = LinearRegression(
+                maxIter=self.getMaxIter() * self.getEpochs(), standardization=False
+            ).fit(examples)
+        finally:
+            examples.unpersist()
         model = self._copyValues(WindowForecastModel())
         return model.setSignature("linear").setArgs(
             {

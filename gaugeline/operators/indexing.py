@@ -9,14 +9,15 @@ its position in its own range:
 2. for series above the limit only, take a content-hashed sample of order keys
    and keep evenly spaced ones as cut points;
 3. count rows per (series, range), running sum -> rows before each range;
-4. attach range and offset to every row, number rows inside (series, range).
+4. attach range and offset to every row from one lookup row per large series,
+   number rows inside (series, range).
 
 Steps 2 and 3 have nothing to read when no series is above the limit, and AQE
 then drops them. Everything is a function of row content, so a recomputed task
-gives the same answer. The two lookup tables hold at most ``max_ranges`` series
-and ``2 * max_ranges`` ranges whatever the size of the data, because the limit
+gives the same answer. The lookup table holds at most ``max_ranges`` series and
+``2 * max_ranges`` ranges whatever the size of the data, because the limit
 rises with the row count (``rows / max_ranges``); that is the bound that makes
-broadcasting them safe.
+broadcasting it safe.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ SAMPLES_PER_RANGE = 32
 _RANGE = "__range"
 _BEFORE = "__before"
 _CUTS = "__cuts"
+_OFFSETS = "__offsets"
 _ALL = "__all"
 _DRAW_SPACE = 1 << 30
 
@@ -47,15 +49,23 @@ def _same_key(series: list[str]) -> Column:
     return match
 
 
-def _range_number(at: Column, cuts: Column, max_ranges: int) -> Column:
-    """How many cut points are <= ``at``: a binary search over the sorted array."""
+def _with_range(df: DataFrame, order: list[str], max_ranges: int) -> DataFrame:
+    """Add ``__range``: how many cut points are at or before the row's order key.
+
+    A binary search over the sorted array, one halving per column, so that it
+    compiles into the scan's generated code. Rows of series that are not cut
+    (no array) get 0.
+    """
+    key = "struct(" + ", ".join("`" + o.replace("`", "``") + "`" for o in order) + ")"
     steps = [1 << i for i in reversed(range((2 * max_ranges).bit_length()))]
-    found = F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda lo, step: F.when(F.get(cuts, lo + step - 1) <= at, lo + step).otherwise(lo),
-    )
-    return F.when(cuts.isNull(), F.lit(0)).otherwise(found)
+    columns, found = [f"{key} AS __at"], "0"
+    for i, step in enumerate(steps):
+        columns.append(
+            f"{found} + if(get({_CUTS}, {found} + {step - 1}) <= __at, {step}, 0) AS __found{i}"
+        )
+        found = f"__found{i}"
+    searched = df.selectExpr("*", *columns).withColumnRenamed(found, _RANGE)
+    return searched.drop("__at", *[f"__found{i}" for i in range(len(steps) - 1)])
 
 
 def place_rows(
@@ -64,8 +74,14 @@ def place_rows(
     series: str | Iterable[str],
     split_rows: int = SPLIT_ROWS,
     max_ranges: int = MAX_RANGES,
+    first: int | None = None,
 ) -> DataFrame:
-    """``df`` with ``__range`` and ``__before`` (rows of the series in earlier ranges)."""
+    """``df`` with ``__range`` and ``__before`` (rows of the series in earlier ranges).
+
+    With ``first``, ranges that begin at or after that many rows are left out.
+    They are recognised by the cut point they begin at, a plain comparison with
+    the lookup row: a filter on ``__before`` would be pushed into the search.
+    """
     order, series = name_list(order), name_list(series)
     key_names = [f"__key{i}" for i in range(len(series))]
     keys = [col(s).alias(k) for s, k in zip(series, key_names)]
@@ -109,31 +125,40 @@ def place_rows(
         .agg(F.sort_array(F.collect_set(picked)).alias(_CUTS))
     )
 
-    number = _range_number(at, F.col(_CUTS), max_ranges)
     running = Window.partitionBy(*key_names).orderBy("__r").rowsBetween(
         Window.unboundedPreceding, -1
     )
     offsets = (
-        narrow.join(F.broadcast(cuts), _same_key(series))
-        .groupBy(*key_names, number.alias("__r"))
+        _with_range(narrow.join(F.broadcast(cuts), _same_key(series)), order, max_ranges)
+        .groupBy(*key_names, F.col(_RANGE).alias("__r"))
         .agg(F.count(F.lit(1)).alias("__rows"))
         .withColumn("__offset", F.coalesce(F.sum("__rows").over(running), F.lit(0)))
-        .drop("__rows")
+        .groupBy(*key_names)
+        .agg(
+            F.sort_array(F.collect_list(F.struct("__r", "__offset"))).alias("__by_range"),
+            F.min(F.when(F.col("__offset") >= F.lit(first), F.col("__r"))).alias("__beyond"),
+        )
+        .select(
+            *[F.col(k).alias(f"{k}_counted") for k in key_names],
+            F.col("__by_range").getField("__offset").alias(_OFFSETS),
+            "__beyond",
+        )
     )
-
-    ranged = (
-        df.join(F.broadcast(cuts), _same_key(series), "left")
-        .withColumn(_RANGE, number)
-        .drop(_CUTS, *key_names)
+    same = F.col(key_names[0]).eqNullSafe(F.col(f"{key_names[0]}_counted"))
+    for k in key_names[1:]:
+        same = same & F.col(k).eqNullSafe(F.col(f"{k}_counted"))
+    lookup = offsets.join(F.broadcast(cuts), same).select(
+        *key_names, _CUTS, _OFFSETS, F.get(_CUTS, F.col("__beyond") - 1).alias("__stop")
     )
-    return (
-        ranged.join(
-            F.broadcast(offsets),
-            _same_key(series) & (F.col(_RANGE) == F.col("__r")),
-            "left",
-        )
-        .withColumn(_BEFORE, F.coalesce(F.col("__offset"), F.lit(0)).cast("bigint"))
-        .drop("__offset", "__r", *key_names)
+
+    located = df.join(F.broadcast(lookup), _same_key(series), "left")
+    if first is not None:
+        located = located.where(F.col("__stop").isNull() | (at < F.col("__stop")))
+    ranged = _with_range(located.drop("__stop"), order, max_ranges)
+    # Counted from the end: every range but the first holds at least its own cut point.
+    before = F.try_element_at(_OFFSETS, F.col(_RANGE) - F.size(_CUTS) - 1)
+    return ranged.withColumn(_BEFORE, F.coalesce(before, F.lit(0)).cast("bigint")).drop(
+        _CUTS, _OFFSETS, *key_names
     )
 
 
@@ -160,11 +185,9 @@ def index_rows(
         # One series over everything: a constant key that stays an equi-join key.
         df = df.withColumn(_ALL, F.pmod(F.xxhash64(*cols(order)), F.lit(1)))
         series = [_ALL]
-    placed = place_rows(df, order, series, split_rows, max_ranges)
+    placed = place_rows(df, order, series, split_rows, max_ranges, first)
     own_range = [_RANGE] if whole else [*cols(series), _RANGE]
     in_range = Window.partitionBy(*own_range).orderBy(*cols(order))
-    if first is not None:
-        placed = placed.where(F.col(_BEFORE) < first)
     numbered = placed.withColumn("__rn", F.row_number().over(in_range))
     if first is not None:
         numbered = numbered.where(F.col("__rn") <= first)

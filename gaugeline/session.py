@@ -21,6 +21,8 @@ def build_session(app: str = "gaugeline", master: str | None = None, **conf) ->
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Call-site capture costs a round trip to the JVM per column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
