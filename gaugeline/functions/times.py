@@ -11,6 +11,8 @@ from gaugeline.functions.names import col
 
 # Text formats that existing readers of the files rely on.
 EVENT_TIME_FORMAT = "yyyy/MM/dd-HH:mm:ss"
+DATE_FORMAT = "yyyy/MM/dd"
+TIME_FORMAT = "HH:mm:ss"
 BUCKET_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 RUN_ID_FORMAT = "%Y%m%d%H%M%S"
 RUN_DIR_SUFFIX = "-prediction"

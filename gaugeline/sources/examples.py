@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from gaugeline.functions.names import col, name_list
+from gaugeline.functions.names import name_list
 
 # What an empty field becomes, by role.
 NUMBER_DEFAULT = 0.0
@@ -28,35 +28,44 @@ def read_examples(
     """Delimited examples typed by role: ``continuous`` and the label are doubles, the rest text.
 
     Names come from the first file's header, or from ``columns`` for files
-    without one. Quotes are ordinary characters. Empty fields get the role's
-    default; a row that does not fit the columns, or text where a number
-    belongs, is an error.
+    without one; the header line is skipped in every file. Quotes are ordinary
+    characters. Empty fields get the role's default; a row with another number
+    of fields, or text where a number belongs, is an error.
+
+    Lines are split here rather than by the CSV reader, which drops a line that
+    is nothing but separators when the separator is a tab.
     """
     paths = name_list(paths)
-    reader = spark.read.option("sep", sep).option("quote", "").option("header", has_header)
+    lines = spark.read.text(paths)
     if has_header:
-        columns = reader.csv(paths[0]).columns
+        columns = (
+            spark.read.option("sep", sep).option("quote", "").option("header", True)
+        ).csv(paths[0]).columns
+        lines = lines.where(F.col("value") != sep.join(columns))
     elif columns is None:
         raise ValueError("files without a header need column names")
+    columns = list(columns)
     numbers = {*continuous, LABEL}
-    schema = T.StructType(
-        [
-            T.StructField(c, T.DoubleType() if c in numbers else T.StringType())
-            for c in columns
-        ]
-    )
-    rows = (
-        reader.option("enforceSchema", not has_header)
-        .option("mode", "FAILFAST")
-        .schema(schema)
-        .csv(paths)
-    )
-    wanted = list(use_columns) if use_columns is not None else list(columns)
-    return rows.select(
-        *[
-            F.coalesce(col(c), F.lit(NUMBER_DEFAULT if c in numbers else TEXT_DEFAULT)).alias(c)
-            for c in wanted
-        ]
+    cells = F.split("value", re.escape(sep), -1)
+    fits = F.when(F.size("cells") != len(columns), F.raise_error(
+        F.concat(F.lit(f"expected {len(columns)} fields: "), F.col("value"))
+    )).otherwise(F.col("cells"))
+
+    def field(name: str) -> Column:
+        cell = F.get("cells", F.lit(columns.index(name)))
+        if name not in numbers:
+            return F.when(cell == "", F.lit(TEXT_DEFAULT)).otherwise(cell)
+        number = F.coalesce(
+            cell.try_cast("double"),
+            F.raise_error(F.concat(F.lit(f"no number in {name}: "), cell)),
+        )
+        return F.when(cell == "", F.lit(NUMBER_DEFAULT)).otherwise(number)
+
+    wanted = list(use_columns) if use_columns is not None else columns
+    return (
+        lines.select("value", cells.alias("cells"))
+        .select(fits.alias("cells"))
+        .select(*[field(c).alias(c) for c in wanted])
     )
 
 

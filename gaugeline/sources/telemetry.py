@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gaugeline.functions.names import col
-from gaugeline.functions.times import EVENT_TIME_FORMAT, event_time
+from gaugeline.functions.times import DATE_FORMAT, EVENT_TIME_FORMAT, TIME_FORMAT, event_time
 
 
 def read_telemetry(spark: SparkSession, path, schema=None) -> DataFrame:
@@ -25,7 +26,14 @@ def normalize_telemetry(
     series: str | None = None,
     fmt: str = EVENT_TIME_FORMAT,
 ) -> DataFrame:
-    """``series``, ``ts``, ``value`` out of date, time and usage columns."""
+    """``series``, ``ts``, ``value`` out of date, time and usage columns.
+
+    Schema inference may have turned the date or the time of day into a
+    timestamp (of today); their texts are restored before they are joined.
+    """
+    for name, text_format in ((date, DATE_FORMAT), (time, TIME_FORMAT)):
+        if not isinstance(df.schema[name].dataType, T.StringType):
+            df = df.withColumn(name, F.date_format(col(name), text_format))
     key = col(series) if series else F.lit("all")
     return df.select(
         key.cast("string").alias("series"),
