@@ -33,9 +33,12 @@ def count_windows(
         raise ValueError("a count window needs a positive size")
     indexed = index_rows(df, order, series, name="__idx", **index_options)
     position = F.pmod(F.col("__idx"), F.lit(size))
+    number = ((F.col("__idx") - position) / size).cast("bigint")
+    # Never null, and declared so: a join on window_id then adds no null filter
+    # below the grouping, and both sides can share one shuffle.
     return (
         indexed.withColumn("pos", position.cast("int"))
-        .withColumn("window_id", ((F.col("__idx") - position) / size).cast("bigint"))
+        .withColumn("window_id", F.coalesce(number, F.lit(0).cast("bigint")))
         .drop("__idx")
     )
 
