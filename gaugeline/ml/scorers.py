@@ -3,7 +3,8 @@
 A scorer is a factory ``factory(options) -> predict`` plus its named outputs.
 ``predict`` takes one NumPy array per model input (batch first) and returns one
 array, or a dict of arrays by output name. The factory runs once per Python
-worker, so that is where a model file is loaded.
+worker, so that is where a model file is loaded. A scorer without declared
+outputs takes their names from the output mapping, one double each.
 """
 
 from __future__ import annotations
@@ -132,4 +133,4 @@ register("window_mean", Scorer(window_mean))
 register("ramp_pair", Scorer(ramp_pair, {"gap": T.DoubleType(), "level": T.DoubleType()}))
 register("folded_classes", Scorer(folded_classes, {"scores": T.ArrayType(T.DoubleType())}))
 register("linear", Scorer(linear))
-register("onnx", Scorer(onnx))
+register("onnx", Scorer(onnx, {}))

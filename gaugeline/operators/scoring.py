@@ -48,7 +48,8 @@ def score(
 
     ``shape`` is what the model expects of one row of each input, for example
     ``[60]``, ``[60, 1]`` or ``[28, 28, 1]``; columns hold flat arrays. A scorer with one output gives a plain column, one with several a struct
-    with a field per output name. Every output must have one item per row.
+    with a field per output name; ``options["outputs"]`` names those of a scorer
+    that declares none. Every output must have one item per row.
 
     The function is declared non-deterministic for the optimizer's sake only: a
     filter on the result must not be pushed below it, which would run the model
@@ -56,11 +57,12 @@ def score(
     """
     scorer: Scorer = lookup(signature)
     settings = dict(options or {})
-    factory, names = scorer.factory, list(scorer.outputs)
-    if len(names) == 1:
-        result_type = scorer.outputs[names[0]]
+    factory = scorer.factory
+    named = scorer.outputs or {n: T.DoubleType() for n in settings["outputs"]}
+    if len(named) == 1:
+        (result_type,) = named.values()
     else:
-        result_type = T.StructType([T.StructField(n, t) for n, t in scorer.outputs.items()])
+        result_type = T.StructType([T.StructField(n, t) for n, t in named.items()])
 
     inputs = name_list(inputs)
     n_inputs = len(inputs)

@@ -67,7 +67,8 @@ def score_windows(
     """
     if scaling not in SCALINGS:
         raise ValueError(f"scaling must be one of {SCALINGS}, not {scaling!r}")
-    names = list(lookup(signature).outputs)
+    names = list(lookup(signature).outputs) or sorted(outputs or {})
+    options = {"outputs": names, **(options or {})}
     outputs = outputs or ({names[0]: "prediction"} if len(names) == 1 else {n: n for n in names})
     suffix = "_scaled" if scaling == "robust" else ""
     scored = score(

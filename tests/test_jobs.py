@@ -91,6 +91,47 @@ def test_model_file_is_loaded_by_workers(spark, usage, tmp_path):
     assert all(math.isclose(got[w], values[w * 60 + 59]) for w in range(3))
 
 
+def _mean_network() -> bytes:
+    """A saved network with one node: the mean over the 60 steps of ``x`` as ``y``."""
+
+    def number(n):
+        out = b""
+        while n > 127:
+            out, n = out + bytes([n & 127 | 128]), n >> 7
+        return out + bytes([n])
+
+    def integer(tag, n):
+        return number(tag << 3) + number(n)
+
+    def block(tag, *parts):
+        body = b"".join(p.encode() if isinstance(p, str) else p for p in parts)
+        return number(tag << 3 | 2) + number(len(body)) + body
+
+    def value(tag, name, *sizes):
+        dims = [block(1, integer(1, n) if isinstance(n, int) else block(2, n)) for n in sizes]
+        return block(tag, block(1, name), block(2, block(1, integer(1, 1), block(2, *dims))))
+
+    axes = block(5, block(1, "axes"), integer(8, 1), integer(20, 7))
+    keep = block(5, block(1, "keepdims"), integer(3, 0), integer(20, 2))
+    node = block(1, block(1, "x"), block(2, "y"), block(4, "ReduceMean"), axes, keep)
+    graph = block(7, node, block(2, "g"), value(11, "x", "N", 60, 1), value(12, "y", "N", 1))
+    return integer(1, 8) + graph + block(8, block(1, ""), integer(2, 13))
+
+
+def test_saved_network(spark, usage, tmp_path):
+    path = tmp_path / "mean.onnx"
+    path.write_bytes(_mean_network())
+    model = (
+        WindowForecastModel(orderCols=["ts"], signature="onnx", modelPath=str(path))
+        .setInputMapping({"%used": "x"})
+        .setOutputMapping({"y": "prediction"})
+        .setInputShape([60, 1])
+    )
+    values = np.array([r["%used"] for r in usage.orderBy("ts").collect()])
+    got = {r.window_id: r.prediction for r in model.transform(usage).collect()}
+    assert all(abs(got[w] - values[w * 60 : w * 60 + 60].mean()) < 1e-4 for w in range(3))
+
+
 def test_wrong_output_size_is_an_error(spark):
     scorers.register("short", scorers.Scorer(lambda options: lambda x: x.sum(axis=1)[:-1]))
     df = spark.createDataFrame([([1.0, 2.0],)] * 4, "v array<double>").coalesce(1)
