@@ -25,6 +25,15 @@ from gaugeline.sinks import examples as example_sink  # noqa: E402
 from gaugeline.sinks import predictions as prediction_sink  # noqa: E402
 from gaugeline.sources import examples, files, predictions, telemetry  # noqa: E402
 
+try:  # the training-data operators are a part that can be left out
+    import gaugeline.llm.queries as llm  # noqa: E402
+
+    import corpus_pipeline  # noqa: E402
+except ModuleNotFoundError as error:
+    if not (error.name or "").startswith(("gaugeline.llm", "corpus_pipeline")):
+        raise
+    llm = None
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
 
@@ -1092,8 +1101,13 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    if llm is None:
+        return dict(_QUERIES)
+    return {**_QUERIES, **llm.QUERIES, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    if llm is None:
+        return dict(_ORACLES)
+    piped = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return {**_ORACLES, **llm.ORACLES, **piped}

@@ -15,13 +15,13 @@ def con():
 
 def test_every_oracle_has_a_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"forecast_fitted"}
+    assert set(contract._QUERIES) - set(contract._ORACLES) == {"forecast_fitted"}
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(contract._ORACLES))
 def test_same_rows(spark, con, name):
     rows, wanted, differ, schema = compare(
-        contract.queries()[name](spark, SF), con, contract.oracle_sql()[name]
+        contract.queries()[name](spark, SF), con, contract._ORACLES[name]
     )
     assert (rows, differ, schema) == (wanted, 0, "")
 
