@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import exact_dedup, quality_rules
+from gaugeline.llm import exact_dedup, language_id, pieces, quality_rules
+from gaugeline.llm.common import crc_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -87,3 +90,25 @@ def op4_quality_rules(spark, sf_dir):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "host_verdict", "kept",
     )
+
+
+@query("op7_language_id")
+def op7_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_of(F.col("doc_id"), 4) == 2
+    model = language_id.fit(docs, ~held_out)
+    return language_id.identify(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
+
+
+@query("op10_sentencepiece")
+def op10_sentencepiece(spark, sf_dir, model_path=None):
+    model = Path(model_path or public_tokenizers.path("piece_bpe_32k.model")).read_bytes()
+    coded = pieces.round_trip(table(spark, sf_dir, "documents"), model)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
