@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import exact_dedup, language_id, pieces, quality_rules
+from gaugeline.llm import exact_dedup, language_id, packing, pieces, quality_model, quality_rules
 from gaugeline.llm.common import crc_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +112,20 @@ def op10_sentencepiece(spark, sf_dir, model_path=None):
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op2_length_packing")
+def op2_length_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query("op5_factorisation_machine")
+def op5_factorisation_machine(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality_model.fit(docs, labels, crc_of(F.col("doc_id"), 3) != 1)
+    return quality_model.score(docs, model).select(
+        "doc_id",
+        (crc_of(F.col("doc_id"), 3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
