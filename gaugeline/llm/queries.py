@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import exact_dedup, language_id, packing, pieces, quality_model, quality_rules
+from gaugeline.llm import exact_dedup, language_id, line_align, packing, pieces, quality_model, quality_rules
 from gaugeline.llm.common import crc_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,3 +129,16 @@ def op5_factorisation_machine(spark, sf_dir):
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query("op3_line_alignment")
+def op3_line_alignment(spark, sf_dir):
+    """What is left of every document: its lines with a word, and the hash of its text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    left = line_align.dedup_lines(docs, drop_emptied=False)
+    filled = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    return left.select(
+        "doc_id",
+        F.coalesce(F.size(filled), F.lit(0)).cast("bigint").alias("n_lines"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),
+    )
