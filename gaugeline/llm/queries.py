@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import exact_dedup, language_id, line_align, packing, pieces, quality_model, quality_rules
+from gaugeline.llm import exact_dedup, language_id, line_align, packing, pieces, quality_model, quality_rules, substrings
 from gaugeline.llm.common import crc_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,3 +142,25 @@ def op3_line_alignment(spark, sf_dir):
         F.coalesce(F.size(filled), F.lit(0)).cast("bigint").alias("n_lines"),
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"),
     )
+
+
+@query(
+    "op8_super_kmers",
+    f"""WITH d AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+    windows AS (
+      SELECT doc_id, i, md5(array_to_string(words[i : i + 49], ' ')) AS h
+      FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM d)),
+    hits AS (
+      SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY h) AS first FROM windows) WHERE first < doc_id),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM hits),
+    lost AS (SELECT doc_id, list(p) AS ps FROM gone GROUP BY 1)
+    SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_removed,
+           sha256(array_to_string(CASE WHEN ps IS NULL THEN words
+             ELSE list_filter(words, lambda w, i: NOT list_contains(ps, i)) END, ' ')) AS kept_sha256
+    FROM d LEFT JOIN lost USING (doc_id)""",
+)
+def op8_super_kmers(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.remove_repeats(docs, joined=True).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    )
