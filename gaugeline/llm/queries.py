@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import exact_dedup, language_id, line_align, packing, pieces, quality_model, quality_rules, substrings
+from gaugeline.llm import exact_dedup, language_id, line_align, packing, pieces, quality_model, quality_rules, signature_join, substrings
 from gaugeline.llm.common import crc_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +164,26 @@ def op8_super_kmers(spark, sf_dir):
     return substrings.remove_repeats(docs, joined=True).select(
         "doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
     )
+
+
+@query(
+    "op9_signature_trees",
+    f"""WITH RECURSIVE d AS (
+      SELECT doc_id, {_WORDS.replace("coalesce(text, '')", "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS words
+      FROM documents),
+    s AS (
+      SELECT DISTINCT doc_id, md5(array_to_string(words[i : i + 4], ' ')) AS h
+      FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS i FROM d WHERE len(words) > 0)),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+    links AS (
+      SELECT a, b FROM (
+        SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y USING (h) WHERE x.doc_id <> y.doc_id GROUP BY 1, 2)
+      JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 80 * (na.n + nb.n - c)),
+    reach AS (
+      SELECT a AS doc_id, a AS other FROM links
+      UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other)
+    SELECT d.doc_id, coalesce(max(n.n), 0)::BIGINT AS n_shingles, coalesce(min(other), d.doc_id) AS component_id
+    FROM d LEFT JOIN n USING (doc_id) LEFT JOIN reach USING (doc_id) GROUP BY d.doc_id""",
+)
+def op9_signature_trees(spark, sf_dir):
+    return signature_join.similar_documents(table(spark, sf_dir, "documents"))
