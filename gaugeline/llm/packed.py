@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-_TYPES = "BHIQlqd"
+_TYPES = "BHIQlqdf"
 
 
 def small(values: np.ndarray) -> np.ndarray:

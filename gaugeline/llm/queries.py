@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import exact_dedup, language_id, line_align, packing, pieces, quality_model, quality_rules, signature_join, substrings
+from gaugeline.llm import (
+    exact_dedup, katz, language_id, line_align, packing, pieces, quality_model, quality_rules, signature_join, substrings,
+)
 from gaugeline.llm.common import crc_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -187,3 +189,10 @@ def op8_super_kmers(spark, sf_dir):
 )
 def op9_signature_trees(spark, sf_dir):
     return signature_join.similar_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op6_katz_backoff")
+def op6_katz_backoff(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    scores, _ = katz.fit_and_score(docs, crc_of(F.col("doc_id"), 10) == 0)
+    return scores
