@@ -337,6 +337,13 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     )
 
 
+def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:
+    """The rows of ``docs`` but those of documents linked to one with a smaller id: one of each group stays."""
+    found = similar_documents(docs, id_col, text_col, least)
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+
+
 def _local(doc: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     used, local = np.unique(doc, return_inverse=True)
     return small(local), ids[used]

@@ -248,24 +248,25 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def remove_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, joined: bool = False
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, joined: bool = False, prefix: str = ""
 ) -> DataFrame:
-    """``docs`` with repeated words cut out of ``text``, and ``n_words``, ``n_removed`` beside it.
+    """``docs`` with repeated words cut out of ``text``, and ``n_words``, ``n_removed`` (after ``prefix``) beside it.
 
     A word goes if a window that covers it also starts in a document with a
     smaller id. Documents without an id come last and, like rows of one id, take
     nothing from each other. Null texts stay null, with 0 words. White space
     beside a cut is taken with the words before it; texts without a cut stay as
     they are, or, with ``joined``, all remaining words are joined by one space.
-    If the table has columns ``n_words`` or ``n_removed``, these are replaced.
+    Columns of the table with the names of the two counts are replaced.
     """
-    rest = docs.drop("n_words", "n_removed")
+    counts = [prefix + "n_words", prefix + "n_removed"]
+    rest = docs.drop(*counts)
     spans = repeated_spans(docs, id_col, text_col, window)
     spans = spans.select(F.col("doc").alias(_P + "doc"), F.col("key").alias(_P + "key"), F.col("spans").alias(_P + "at"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     same = (_order(F.col(id_col)) == F.col(_P + "doc")) & (F.xxhash64(text) == F.col(_P + "key"))
     both = rest.join(spans, same, "left").drop(_P + "doc", _P + "key")
-    schema = T.StructType([*rest.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
+    schema = T.StructType([*rest.schema.fields, *(T.StructField(c, T.LongType()) for c in counts)])
     names = rest.columns
 
     def cut(batches):
@@ -296,6 +297,6 @@ def remove_repeats(
                 if joined:
                     texts[k] = b" ".join(words).decode("utf-8", "surrogatepass")
             made = batch.set_column(batch.schema.names.index(text_col), text_col, pa.array(texts, pa.string())).select(names)
-            yield pa.RecordBatch.from_arrays([*made.columns, pa.array(total), pa.array(gone)], [*names, "n_words", "n_removed"])
+            yield pa.RecordBatch.from_arrays([*made.columns, pa.array(total), pa.array(gone)], [*names, *counts])
 
     return both.mapInArrow(cut, schema)
