@@ -216,7 +216,8 @@ def dedup_lines(
     gone = gone.select(F.col("doc").alias(_P + "doc"), F.col("key").alias(_P + "key"), F.col("gone").alias(_P + "gone"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     same = (_order(F.col(id_col)) == F.col(_P + "doc")) & (F.xxhash64(text) == F.col(_P + "key"))
-    joined = docs.join(gone, same, "left").drop(_P + "doc", _P + "key")
+    # A sort-merge join at every size: broadcasting depends on how much was deleted, not on the corpus.
+    joined = docs.join(gone.hint("merge"), same, "left").drop(_P + "doc", _P + "key")
 
     names = docs.columns
 
