@@ -33,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.llm.common import hand_off, hash_words, mix, ngram_hash, owners, slices, starts_that_fit, texts_of, words_of
+from gaugeline.llm.common import hand_off, hash_words, mix, ngram_hash, owners, slices, starts_that_fit, sum_by, texts_of, words_of
 from gaugeline.llm.components import components
 from gaugeline.llm.packed import pack, small, unpack
 from gaugeline.llm.substrings import _ragged, first_of_equal
@@ -49,7 +49,9 @@ BUCKET_KEYS = 1_000_000
 PACK_BYTES = 8 << 20
 MAX_FREQUENT = 1 << 16
 FANOUT = 8
+NEAR = 12
 _LAST = np.uint64(1 << 63)
+_OTHER = np.uint64(0x2545F4914F6CDD1D)
 
 
 # -- sets -------------------------------------------------------------------
@@ -83,6 +85,30 @@ def prefix_length(n: np.ndarray, least: int) -> np.ndarray:
     return np.where(n > 0, n - (least * n + 99) // 100 + 1, 0)
 
 
+def may_link(value: np.ndarray, place: np.ndarray, doc: np.ndarray, n: np.ndarray, least: int) -> np.ndarray:
+    """Which entries of a key (sorted by key, then set size) have a possible partner under it.
+
+    Two sets must be close in size, and share no more than what stands before
+    the key in both and after it in both. With up to ``NEAR`` entries a key's
+    pairs are looked at for both bounds, by distance in the order; an entry of a
+    longer key needs a neighbour of fitting size.
+    """
+    keep = np.zeros(len(value), bool)
+    head = np.flatnonzero(np.append(True, value[1:] != value[:-1])[: len(value)])
+    entries = np.diff(np.append(head, len(value)))
+    many = np.repeat(entries > NEAR, entries)
+    for off in range(1, NEAR):
+        i = np.flatnonzero(value[off:] == value[: len(value) - off]) if off < len(value) else np.zeros(0, np.int64)
+        if off > 1:
+            i = i[~many[i]]
+        j = i + off
+        ok = (100 * n[i] >= least * n[j]) & (doc[i] != doc[j])
+        most = np.minimum(place[i], place[j]) + np.minimum(n[i] - place[i], n[j] - place[j])
+        ok &= many[i] | ((100 + least) * most >= least * (n[i] + n[j]))
+        keep[i[ok]] = keep[j[ok]] = True
+    return keep
+
+
 def linked(a: np.ndarray, b: np.ndarray, least: int) -> bool:
     """Whether two sorted sets reach the similarity, in integers."""
     if len(a) > len(b):
@@ -232,7 +258,7 @@ def verified(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, least:
 
 # -- the join ---------------------------------------------------------------
 
-_FIRST = pa.schema([("kind", pa.int32()), ("doc", pa.int64()), ("n", pa.int64()), ("bits", pa.binary()), ("other", pa.int64())])
+_FIRST = pa.schema([("kind", pa.int32()), ("doc", pa.int64()), ("n", pa.int64()), ("bits", pa.binary()), ("other", pa.int64()), ("same", pa.binary())])
 
 
 def _frequent(counted: DataFrame) -> np.ndarray:
@@ -269,26 +295,28 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             values, offsets, size, ids, live, leader = split(batch, None)
             own = live[live == leader]
             maps = {i: bitmap(values[offsets[i] : offsets[i + 1]]).tobytes() for i in own.tolist()}
+            sums = np.column_stack([sum_by(mix(values), offsets), sum_by(mix(values ^ _OTHER), offsets)])
+            same = {i: sums[i].tobytes() for i in own.tolist()}
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(n, np.int32)), batch.column("doc"), pa.array(size), pa.array([maps.get(i) for i in range(n)], pa.binary()), pa.nulls(n, pa.int64())],
+                [pa.array(np.zeros(n, np.int32)), batch.column("doc"), pa.array(size), pa.array([maps.get(i) for i in range(n)], pa.binary()), pa.nulls(n, pa.int64()), pa.array([same.get(i) for i in range(n)], pa.binary())],
                 schema=_FIRST,
             )
             copies = live[(live != leader) & (ids[live] != ids[leader])], leader[(live != leader) & (ids[live] != ids[leader])]
             n = len(copies[0])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, 1, np.int32)), pa.array(ids[copies[0]]), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(ids[copies[1]])],
+                [pa.array(np.full(n, 1, np.int32)), pa.array(ids[copies[0]]), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(ids[copies[1]]), pa.nulls(n, pa.binary())],
                 schema=_FIRST,
             )
             take = prefix_length(size[own], least)
             value, count = np.unique(values[_ragged(offsets[own], take)], return_counts=True)
             value, count = value[count > 1], count[count > 1]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(value), 2, np.int32)), pa.array(value.view(np.int64)), pa.array(count), pa.nulls(len(value), pa.binary()), pa.nulls(len(value), pa.int64())],
+                [pa.array(np.full(len(value), 2, np.int32)), pa.array(value.view(np.int64)), pa.array(count), pa.nulls(len(value), pa.binary()), pa.nulls(len(value), pa.int64()), pa.nulls(len(value), pa.binary())],
                 schema=_FIRST,
             )
 
-    first = hand_off(narrow.mapInArrow(first_pass, "kind int, doc long, n long, bits binary, other long"), "kind")
+    first = hand_off(narrow.mapInArrow(first_pass, "kind int, doc long, n long, bits binary, other long, same binary"), "kind")
     frequent = _frequent(first.where("kind = 2").groupBy("doc").agg(F.sum("n").alias("n")))
     keys = first.where("kind = 0").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] * (100 - least) // 100
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), keys // BUCKET_KEYS + 1)
@@ -299,13 +327,14 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             values, offsets, size, ids, live, leader = split(batch, frequent)
             own = live[live == leader]
             take = prefix_length(size[own], least)
-            value, doc = values[_ragged(offsets[own], take)], np.repeat(np.arange(len(own)), take)
+            at, doc = _ragged(offsets[own], take), np.repeat(np.arange(len(own)), take)
+            value, place = values[at], at - offsets[own][doc]
             to = (mix(value) % np.uint64(buckets)).astype(np.int64)
             by = np.lexsort((value, to))
-            value, doc, to = value[by], doc[by], to[by]
+            value, place, doc, to = value[by], place[by], doc[by], to[by]
             edges = np.concatenate([[0], np.flatnonzero(to[1:] != to[:-1]) + 1, [len(to)]])
             out = [
-                (int(to[lo]), pack(value[lo:hi], *_local(doc[lo:hi], ids[own]), level=1))
+                (int(to[lo]), pack(value[lo:hi], small(place[lo:hi]), *_local(doc[lo:hi], ids[own], size[own]), level=1))
                 for lo, hi in zip(edges[:-1], edges[1:]) if lo < hi
             ]
             if out:
@@ -316,20 +345,37 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     def to_stars(table):
         parts = [unpack(x) for x in table.column("data").to_pylist()]
         value = np.concatenate([p[0] for p in parts])
-        doc = np.concatenate([p[2][p[1].astype(np.int64)] for p in parts])
-        by = np.lexsort((doc, value))
-        value, doc = value[by], doc[by]
-        head = np.ones(len(value), bool)
-        head[1:] = value[1:] != value[:-1]
-        center = doc[np.flatnonzero(head)[np.cumsum(head) - 1]]
+        place = np.concatenate([p[1] for p in parts]).astype(np.int64)
+        doc = np.concatenate([p[3][p[2].astype(np.int64)] for p in parts])
+        n = np.concatenate([p[4][p[2].astype(np.int64)] for p in parts]).astype(np.int64)
+        by = np.lexsort((doc, n, value))
+        value, place, doc, n = value[by], place[by], doc[by], n[by]
+        keep = may_link(value, place, doc, n, least)
+        value, doc = value[keep], doc[keep]
+        head = np.flatnonzero(np.append(True, value[1:] != value[:-1])[: len(value)])
+        smallest = np.minimum.reduceat(doc, head) if len(head) else doc
+        center = np.repeat(smallest, np.diff(np.append(head, len(value))))
         pairs = np.unique(np.column_stack([center, doc])[center != doc], axis=0)
+        # The same pair comes from many buckets: pairs meet once more, packed, by their own hash.
+        to = (mix(pairs[:, 0].view(np.uint64) ^ mix(pairs[:, 1].view(np.uint64))) % np.uint64(buckets)).astype(np.int64)
+        pairs, to = pairs[np.argsort(to, kind="stable")], np.sort(to)
+        edges = np.concatenate([[0], np.flatnonzero(to[1:] != to[:-1]) + 1, [len(to)]])
+        out = [(int(to[a]), pack(pairs[a:b, 0], pairs[a:b, 1])) for a, b in zip(edges[:-1], edges[1:]) if a < b]
+        columns = zip(*out) if out else [(), ()]
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, piece)], schema=piece)
+
+    def distinct(table):
+        parts = [unpack(x) for x in table.column("data").to_pylist()]
+        pairs = np.unique(np.column_stack([np.concatenate([p[i] for p in parts]) for i in (0, 1)]), axis=0)
         return pa.Table.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], schema=member)
 
-    packed = narrow.mapInArrow(to_keys, "bucket long, data binary")
-    stars = hand_off(packed.groupBy("bucket").applyInArrow(to_stars, "center long, doc long").distinct())
+    packed = narrow.mapInArrow(to_keys, "bucket long, data binary").groupBy("bucket").applyInArrow(to_stars, "bucket long, data binary")
+    stars = hand_off(packed.groupBy("bucket").applyInArrow(distinct, "center long, doc long"))
+    equal = _equal_sets(first.where("kind = 0"))
+    stars = _by_representative(stars, equal)
     links = _star_links(narrow, first.where("kind = 0 AND bits IS NOT NULL"), stars, least)
     copies = first.where("kind = 1").select(F.col("other").alias("a"), F.col("doc").alias("b"))
-    found = components(links.union(copies))
+    found = components(links.union(copies).union(equal.select("rep", "copy")))
     return (
         first.where("kind = 0").select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"))
         .join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left")
@@ -337,6 +383,26 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     )
 
 
+def _equal_sets(sized: DataFrame) -> DataFrame:
+    """``copy, rep``: documents whose set (by a 128-bit sum and its size) a smaller id has too.
+
+    Ids that stand on several rows may have several sets and stay out of this.
+    """
+    single = sized.groupBy("doc").agg(F.count(F.lit(1)).alias("rows"), F.max("same").alias("same"), F.max("n").alias("n"))
+    single = single.where("rows = 1 AND same IS NOT NULL")
+    reps = single.groupBy("same", "n").agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("docs")).where("docs > 1")
+    reps = reps.select(F.col("same").alias("s"), F.col("n").alias("m"), "rep")
+    pairs = single.join(reps, (F.col("same") == F.col("s")) & (F.col("n") == F.col("m")))
+    return hand_off(pairs.where("doc <> rep").select(F.col("doc").alias("copy"), "rep"))
+
+
+def _by_representative(stars: DataFrame, equal: DataFrame) -> DataFrame:
+    """Star rows with every document replaced by the first with the same set."""
+    for side in ("center", "doc"):
+        stars = stars.join(equal, F.col(side) == F.col("copy"), "left").withColumn(side, F.coalesce("rep", side)).drop("copy", "rep")
+    return hand_off(stars.where("center <> doc").distinct())
+
+
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST) -> DataFrame:
     """The rows of ``docs`` but those of documents linked to one with a smaller id: one of each group stays."""
     found = similar_documents(docs, id_col, text_col, least)
@@ -344,9 +410,9 @@ def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str
     return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
 
 
-def _local(doc: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _local(doc: np.ndarray, ids: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     used, local = np.unique(doc, return_inverse=True)
-    return small(local), ids[used]
+    return small(local), ids[used], small(size[used])
 
 
 def _star_links(narrow: DataFrame, signatures: DataFrame, stars: DataFrame, least: int) -> DataFrame:
