@@ -784,11 +784,14 @@ def file_shards(spark, sf_dir):
 
 @query(
     "shuffle_examples",
-    "SELECT event_id, event_type, value FROM events",
+    """SELECT event_id, event_type, value,
+           row_number() OVER (ORDER BY md5('512-' || event_id), event_id) - 1 AS place
+    FROM events""",
 )
 def shuffle_examples(spark, sf_dir):
+    """The place of every row in the shuffled order."""
     rows = _events(spark, sf_dir).select("event_id", "event_type", "value")
-    return sharding.shuffle_rows(rows, "event_id", seed=512)
+    return sharding.shuffled_places(rows, "event_id", seed=512)
 
 
 @query(
@@ -797,8 +800,9 @@ def shuffle_examples(spark, sf_dir):
     FROM events GROUP BY event_type""",
 )
 def partitioned_dataset(spark, sf_dir):
+    """Used once here, so nothing is kept: a cache would need someone to release it."""
     spread = sharding.partitioned_dataset(
-        _events(spark, sf_dir).select("event_type", "value"), 10
+        _events(spark, sf_dir).select("event_type", "value"), 10, cache=False
     )
     return (
         spread.withColumn("at", F.spark_partition_id())
@@ -1015,7 +1019,7 @@ pairs AS (
 @query(
     "fit_ar1",
     f"""WITH {_PAIRS}
-    SELECT event_type, count(*) AS pairs, round(regr_slope(y, x), 8) AS slope,
+    SELECT event_type, CAST(regr_count(y, x) AS BIGINT) AS pairs, round(regr_slope(y, x), 8) AS slope,
            round(regr_intercept(y, x), 6) AS intercept
     FROM pairs WHERE y IS NOT NULL GROUP BY event_type""",
 )

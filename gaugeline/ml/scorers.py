@@ -84,35 +84,6 @@ def linear(options: dict) -> Callable:
     return predict
 
 
-def onnx(options: dict) -> Callable:
-    """A saved network, run by onnxruntime; inputs and outputs bind by name.
-
-    ``model_path`` must be readable on every worker. ``inputs`` and ``outputs``
-    list the names in the order the columns are given and wanted.
-    """
-    import onnxruntime
-
-    session = onnxruntime.InferenceSession(
-        options["model_path"], providers=["CPUExecutionProvider"]
-    )
-    declared = {i.name: i for i in session.get_inputs()}
-    names = options.get("inputs") or list(declared)
-    outputs = options.get("outputs") or [o.name for o in session.get_outputs()]
-
-    def predict(*inputs):
-        feed = {}
-        for name, values in zip(names, inputs):
-            shape = [d if isinstance(d, int) else -1 for d in declared[name].shape]
-            shape[0] = len(values)
-            feed[name] = values.astype(np.float32).reshape(shape)
-        results = session.run(outputs, feed)
-        flat = [r.reshape(len(r), -1).astype(np.float64) for r in results]
-        columns = [r[:, 0] if r.shape[1] == 1 else r for r in flat]
-        return dict(zip(outputs, columns)) if len(columns) > 1 else columns[0]
-
-    return predict
-
-
 _REGISTRY: dict[str, Scorer] = {}
 
 
@@ -133,4 +104,3 @@ register("window_mean", Scorer(window_mean))
 register("ramp_pair", Scorer(ramp_pair, {"gap": T.DoubleType(), "level": T.DoubleType()}))
 register("folded_classes", Scorer(folded_classes, {"scores": T.ArrayType(T.DoubleType())}))
 register("linear", Scorer(linear))
-register("onnx", Scorer(onnx, {}))

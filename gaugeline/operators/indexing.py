@@ -103,9 +103,9 @@ def place_rows(
     narrow = df.select(*cols(dict.fromkeys([*series, *order])))
     draw = F.pmod(F.xxhash64(*cols(series), *cols(order)), F.lit(_DRAW_SPACE))
     chance = F.col("__ranges") * F.lit(float(SAMPLES_PER_RANGE)) / F.col("__rows")
-    picked = F.get(
-        F.col("__points"),
-        F.floor(F.col("__i") * F.size("__points") / F.col("__ranges")).cast("int"),
+    picked = F.transform(
+        F.sequence(F.lit(1), F.col("__ranges") - 1),
+        lambda i: F.get(F.col("__points"), F.floor(i * F.size("__points") / F.col("__ranges")).cast("int")),
     )
     cuts = (
         narrow.join(F.broadcast(large), _same_key(series))
@@ -115,14 +115,8 @@ def place_rows(
             F.max("__ranges").alias("__ranges"),
             F.sort_array(F.collect_set(at)).alias("__points"),
         )
-        .select(
-            *key_names,
-            "__points",
-            "__ranges",
-            F.explode(F.sequence(F.lit(1), F.col("__ranges") - 1)).alias("__i"),
-        )
-        .groupBy(*key_names)
-        .agg(F.sort_array(F.collect_set(picked)).alias(_CUTS))
+        # One array expression per series: exploding beside the points would copy them per range.
+        .select(*key_names, F.array_distinct(picked).alias(_CUTS))
     )
 
     running = Window.partitionBy(*key_names).orderBy("__r").rowsBetween(

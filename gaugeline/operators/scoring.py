@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import inspect
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -88,21 +89,26 @@ def score_shards(
     batch_size: int = BATCH_SIZE,
     options: dict | None = None,
 ) -> DataFrame:
-    """Score partitions independently: each task loads the model and walks its own rows.
+    """Score partitions independently; the model is loaded once per Python worker, not per task.
 
     Rows stay where the scan put them, so a scan that reads shards needs no
     shuffle; ``keep`` must name the shard column if it is wanted in the result.
     """
     scorer = lookup(signature)
-    (only, result_type), = scorer.outputs.items()
+    (result_type,) = scorer.outputs.values()
     settings, keep, factory = dict(options or {}), list(keep), scorer.factory
     source = df.select(*cols([*keep, vector]))
-    schema = T.StructType(
-        [source.schema[k] for k in keep] + [T.StructField(output, result_type)]
-    )
+
+    schema = T.StructType([source.schema[k] for k in keep] + [T.StructField(output, result_type)])
+    model = uuid.uuid4()
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        predict = _checked(factory(settings), 1)
+        from pyspark.ml.model_cache import ModelCache
+
+        predict = ModelCache.get(model)
+        if predict is None:
+            predict = _checked(factory(settings), 1)
+            ModelCache.add(model, predict)
         for batch in batches:
             for start in range(0, len(batch), batch_size):
                 part = batch.iloc[start : start + batch_size]

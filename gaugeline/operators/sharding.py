@@ -61,3 +61,13 @@ def shuffle_rows(
     return df.orderBy(F.xxhash64(F.lit(seed), *cols(keys)), *cols(keys))
 
 
+
+
+def shuffled_places(df: DataFrame, key: str, seed: int = 0, name: str = "place") -> DataFrame:
+    """Add each row's place in an order drawn from a hash of its key, without a global sort.
+
+    The order is by MD5 of ``seed-key`` and then the key: the same in every run
+    and in every engine that knows MD5.
+    """
+    drawn = df.withColumn("__draw", F.md5(F.concat(F.lit(f"{seed}-"), F.col(key).cast("string"))))
+    return index_rows(drawn, order=["__draw", key], name=name).drop("__draw")

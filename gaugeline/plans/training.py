@@ -84,7 +84,7 @@ def fit_ar1(
     """Least-squares line ``next = intercept + slope * value`` per series, partially aggregated."""
     pairs = next_value_pairs(df, order, value, series, **options)
     return pairs.groupBy(*cols(name_list(series))).agg(
-        F.count(F.lit(1)).alias("pairs"),
+        F.regr_count("y", "x").alias("pairs"),
         F.regr_slope("y", "x").alias("slope"),
         F.regr_intercept("y", "x").alias("intercept"),
     )

@@ -34,11 +34,15 @@ def build_session(app: str = "gaugeline", master: str | None = None, **conf) ->
 def scratch_dir(spark: SparkSession) -> str:
     """A new path for a written hand-off, below the cluster's checkpoint folder.
 
-    Only where no such folder is configured (tests on one machine) is a local
-    one made and recorded in the session.
+    Only in local mode (tests on one machine) is a temporary one made, where no
+    folder is configured, and recorded in the session. On a cluster executors
+    would each write to a disk of their own, so that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="gaugeline-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/gaugeline-{uuid.uuid4().hex}"

@@ -16,6 +16,34 @@ TEXT_DEFAULT = "0"
 LABEL = "label"
 
 
+def without_first_lines(lines: DataFrame) -> DataFrame:
+    """Lines of a text scan but the first of each file, told by its place and not by what it says.
+
+    A task reads its pieces of files one after another, so the first row of a
+    piece that begins at byte 0 is the file's first line.
+    """
+    placed = lines.select("value", "_metadata.file_path", "_metadata.file_block_start")
+
+    def skip(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            path, start = batch.column("file_path"), batch.column("file_block_start").to_numpy()
+            code = path.dictionary_encode().indices.to_numpy()
+            new = np.ones(len(start), bool)
+            new[1:] = (code[1:] != code[:-1]) | (start[1:] != start[:-1])
+            new[0] = (path[0].as_py(), start[0]) != last
+            last = path[len(start) - 1].as_py(), start[-1]
+            kept = batch.select(["value"]).filter(pa.array(~(new & (start == 0))))
+            yield kept
+
+    return placed.mapInArrow(skip, "value string")
+
+
 def read_examples(
     spark: SparkSession,
     paths: str | Iterable[str],
@@ -28,7 +56,8 @@ def read_examples(
     """Delimited examples typed by role: ``continuous`` and the label are doubles, the rest text.
 
     Names come from the first file's header, or from ``columns`` for files
-    without one; the header line is skipped in every file. Quotes are ordinary
+    without one; the first line of every file is then skipped, whatever it says.
+    A name that comes twice stands for its first column. Quotes are ordinary
     characters. Empty fields get the role's default; a row with another number
     of fields, or text where a number belongs, is an error.
 
@@ -38,10 +67,9 @@ def read_examples(
     paths = name_list(paths)
     lines = spark.read.text(paths)
     if has_header:
-        columns = (
-            spark.read.option("sep", sep).option("quote", "").option("header", True)
-        ).csv(paths[0]).columns
-        lines = lines.where(F.col("value") != sep.join(columns))
+        first = min(spark.read.text(paths[0]).inputFiles())
+        columns = spark.read.text(first).first()["value"].split(sep)
+        lines = without_first_lines(lines)
     elif columns is None:
         raise ValueError("files without a header need column names")
     columns = list(columns)

@@ -17,10 +17,13 @@ def read_predictions(
 
 
 def prediction_values(df: DataFrame) -> DataFrame:
-    """The single items of the stored one-item arrays, bound by name."""
-    return df.select(
-        *[F.get(F.col(c), F.lit(0)).alias(c) for c in df.columns if c in ("Datetime", "prediction")]
-    )
+    """The single items of the stored one-item arrays, bound by name; a longer array is an error."""
+
+    def single(c):
+        longer = F.raise_error(F.concat(F.lit(f"more than one item in {c}: "), F.to_json(F.col(c))))
+        return F.when(F.size(c) > 1, longer).otherwise(F.get(F.col(c), F.lit(0))).alias(c)
+
+    return df.select(*[single(c) for c in df.columns if c in ("Datetime", "prediction")])
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:

@@ -2,6 +2,9 @@
 
 import json
 import math
+import os
+import time
+from collections import Counter
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -91,47 +94,6 @@ def test_model_file_is_loaded_by_workers(spark, usage, tmp_path):
     assert all(math.isclose(got[w], values[w * 60 + 59]) for w in range(3))
 
 
-def _mean_network() -> bytes:
-    """A saved network with one node: the mean over the 60 steps of ``x`` as ``y``."""
-
-    def number(n):
-        out = b""
-        while n > 127:
-            out, n = out + bytes([n & 127 | 128]), n >> 7
-        return out + bytes([n])
-
-    def integer(tag, n):
-        return number(tag << 3) + number(n)
-
-    def block(tag, *parts):
-        body = b"".join(p.encode() if isinstance(p, str) else p for p in parts)
-        return number(tag << 3 | 2) + number(len(body)) + body
-
-    def value(tag, name, *sizes):
-        dims = [block(1, integer(1, n) if isinstance(n, int) else block(2, n)) for n in sizes]
-        return block(tag, block(1, name), block(2, block(1, integer(1, 1), block(2, *dims))))
-
-    axes = block(5, block(1, "axes"), integer(8, 1), integer(20, 7))
-    keep = block(5, block(1, "keepdims"), integer(3, 0), integer(20, 2))
-    node = block(1, block(1, "x"), block(2, "y"), block(4, "ReduceMean"), axes, keep)
-    graph = block(7, node, block(2, "g"), value(11, "x", "N", 60, 1), value(12, "y", "N", 1))
-    return integer(1, 8) + graph + block(8, block(1, ""), integer(2, 13))
-
-
-def test_saved_network(spark, usage, tmp_path):
-    path = tmp_path / "mean.onnx"
-    path.write_bytes(_mean_network())
-    model = (
-        WindowForecastModel(orderCols=["ts"], signature="onnx", modelPath=str(path))
-        .setInputMapping({"%used": "x"})
-        .setOutputMapping({"y": "prediction"})
-        .setInputShape([60, 1])
-    )
-    values = np.array([r["%used"] for r in usage.orderBy("ts").collect()])
-    got = {r.window_id: r.prediction for r in model.transform(usage).collect()}
-    assert all(abs(got[w] - values[w * 60 : w * 60 + 60].mean()) < 1e-4 for w in range(3))
-
-
 def test_wrong_output_size_is_an_error(spark):
     scorers.register("short", scorers.Scorer(lambda options: lambda x: x.sum(axis=1)[:-1]))
     df = spark.createDataFrame([([1.0, 2.0],)] * 4, "v array<double>").coalesce(1)
@@ -186,6 +148,60 @@ def test_examples_by_role(spark, tmp_path):
         examples.read_examples(spark, str(plain))
 
 
+def test_headers_are_skipped_by_place(spark, tmp_path):
+    """A data row equal to the header stays; headers may differ, repeat names, and files be split."""
+    (tmp_path / "a.tsv").write_text("k\tn\tlabel\nk\t1\t2\n\t\t\nx\t3\t4\n")
+    (tmp_path / "b.tsv").write_text("other\tnames\there\nk\t5\t6\n")
+    (tmp_path / "c.tsv").write_text("k\tn\tlabel\n" + "y\t7\t8\n" * 20_000)
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        got = examples.read_examples(spark, str(tmp_path), continuous=["n"], has_header=True)
+        assert got.rdd.getNumPartitions() > 3
+        found = Counter(map(tuple, got.collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    assert found == {("k", 1.0, 2.0): 1, ("0", 0.0, 0.0): 1, ("x", 3.0, 4.0): 1, ("k", 5.0, 6.0): 1, ("y", 7.0, 8.0): 20_000}
+    same = tmp_path / "same"
+    same.mkdir()
+    (same / "d.txt").write_text("k,n,label\nk,n,label\n")
+    read = examples.read_examples(spark, str(same), sep=",", use_columns=["k", "n"], has_header=True)
+    assert [tuple(r) for r in read.collect()] == [("k", "n")]
+
+
+def test_longer_arrays_are_an_error(spark):
+    stored = spark.createDataFrame([([1.0],), ([],), (None,)], "prediction array<double>")
+    assert [r.prediction for r in predictions.prediction_values(stored).collect()] == [1.0, None, None]
+    with pytest.raises(Exception, match="more than one item"):
+        predictions.prediction_values(spark.createDataFrame([([1.0, 2.0],)], "prediction array<double>")).collect()
+
+
+def test_shared_folder_is_asked_for_on_a_cluster():
+    class Conf(dict):
+        def get(self, key, default=None):
+            return dict.get(self, key, default)
+
+    class Session:
+        conf = Conf({"spark.master": "yarn"})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(Session())
+    Session.conf["spark.checkpoint.dir"] = "hdfs:///shared/"
+    assert scratch_dir(Session()).startswith("hdfs:///shared/gaugeline-")
+
+
+def test_shards_load_the_model_once_per_worker(spark, tmp_path):
+    def factory(options):
+        (tmp_path / f"{os.getpid()}-{time.time_ns()}").touch()
+        return lambda x: x.sum(axis=1)
+
+    scorers.register("counted", scorers.Scorer(factory))
+    df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(400)], "id long, v array<double>").repartition(64)
+    got = scoring.score_shards(df, "v", "counted", ["id"], output="s").collect()
+    assert sorted((r.id, r.s) for r in got) == [(i, i + 1.0) for i in range(400)]
+    assert len(list(tmp_path.iterdir())) < 64
+
+
 def test_file_listing(spark, tmp_path):
     for name in ("d/x.csv", "d/e/y.csv", "d/e/z.json", "d/_SUCCESS"):
         target = tmp_path / name

@@ -148,3 +148,14 @@ def test_scoring_plan_runs_the_model_once(spark):
     out = predict_windows(df, ["ts", "id"], "v", 6, "s").where("prediction >= 50")
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+@pytest.mark.parametrize("ranges", [4_000, 10_000])
+def test_many_ranges(spark, ranges):
+    """Thousands of ranges in one series: the cut points are one array, not a row for each beside it."""
+    df = spark.range(200_000).select((F.col("id") * 7919 % 200_003).alias("at"), "id")
+    got = index_rows(df, ["at", "id"], split_rows=10, max_ranges=ranges)
+    wrong = got.groupBy().agg(F.count_distinct("row_idx").alias("n"), F.max("row_idx").alias("top"), F.sum(F.col("row_idx")).alias("total"))
+    assert tuple(wrong.first()) == (200_000, 199_999, 199_999 * 100_000)
+    ordered = got.orderBy("row_idx").limit(5_000).collect()
+    assert [r["at"] for r in ordered] == sorted(r["at"] for r in ordered)
