@@ -407,7 +407,7 @@ def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """The rows of ``docs`` but those of documents linked to one with a smaller id: one of each group stays."""
     found = similar_documents(docs, id_col, text_col, least)
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    return docs.join(gone.hint("merge"), F.col(id_col) == F.col("__gone"), "left_anti")
 
 
 def _local(doc: np.ndarray, ids: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -497,6 +497,6 @@ def _compared(narrow: DataFrame, members: DataFrame, star, least: int, schema: s
         return pa.Table.from_arrays(columns, schema=out)
 
     # A document's text is fetched once for each of its stars; unmatched texts end here.
-    texts = members.join(narrow, "doc").select("center", "chunk", "doc", "visits", "text")
+    texts = members.hint("merge").join(narrow, "doc").select("center", "chunk", "doc", "visits", "text")
     sets = texts.mapInArrow(fetch, "center long, chunk int, doc long, visits boolean, data binary")
     return star(sets).groupBy("g").applyInArrow(compare, schema)

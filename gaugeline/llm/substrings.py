@@ -265,7 +265,8 @@ def remove_repeats(
     spans = spans.select(F.col("doc").alias(_P + "doc"), F.col("key").alias(_P + "key"), F.col("spans").alias(_P + "at"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     same = (_order(F.col(id_col)) == F.col(_P + "doc")) & (F.xxhash64(text) == F.col(_P + "key"))
-    both = rest.join(spans, same, "left").drop(_P + "doc", _P + "key")
+    # A sort-merge join at every size, as in line dedup.
+    both = rest.join(spans.hint("merge"), same, "left").drop(_P + "doc", _P + "key")
     schema = T.StructType([*rest.schema.fields, *(T.StructField(c, T.LongType()) for c in counts)])
     names = rest.columns
 
