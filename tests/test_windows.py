@@ -73,11 +73,32 @@ def test_first_rows(spark, split):
     assert len(kept) == 35
 
 
-def test_max_ranges_raises_the_limit(spark):
-    df = frame(spark, rows_of("a", 400))
-    out = index_rows(df, ["ts", "id"], "s", split_rows=1, max_ranges=4, keep_range=True)
-    assert out.select("__range").distinct().count() <= 8
-    assert sorted(r.row_idx for r in out.collect()) == list(range(400))
+@pytest.mark.parametrize("first", [None, 150])
+def test_ranges_stay_small_beyond_the_broadcast(spark, first):
+    """400 ranges where 4 may be broadcast: coarse ranges are cut again, also those of smaller series."""
+    df = frame(spark, rows_of("a", 4_000) + rows_of(None, 1_500) + rows_of("b", 45))
+    out = index_rows(df, ["ts", "id"], "s", split_rows=10, max_ranges=4, keep_range=True, first=first)
+    rows = out.collect()
+    sizes = {}
+    for r in rows:
+        assert r.row_idx == r.id
+        sizes[r.s, r["__range"]] = sizes.get((r.s, r["__range"]), 0) + 1
+    assert len(rows) == (5_545 if first is None else 345)
+    assert max(sizes.values()) <= 40
+
+
+def test_plan_without_a_hot_series_reads_once(spark):
+    df = frame(spark, rows_of("a", 90) + rows_of("b", 10))
+    plan = index_rows(df, ["ts", "id"], "s")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("LogicalRDD") == 1
+
+
+def test_plan_of_a_hot_series_reads_once(spark, tmp_path):
+    """Cut points and counts are written before, so the result's plan has one scan of the source."""
+    frame(spark, rows_of("a", 900)).write.parquet(f"{tmp_path}/rows")
+    source = spark.read.parquet(f"{tmp_path}/rows")
+    plan = index_rows(source, ["ts", "id"], "s", split_rows=50)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(f"{tmp_path}/rows") == 1
 
 
 def test_same_result_for_any_partitioning(spark):
