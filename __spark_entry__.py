@@ -18,7 +18,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from gaugeline.functions import times, vectors  # noqa: E402
 from gaugeline.ml.model import WindowForecaster, WindowForecastModel  # noqa: E402
 from gaugeline.operators import projections, scaling, scoring, sharding, windows  # noqa: E402
-from gaugeline.plans import forecast, metrics, sweep, training  # noqa: E402
+from gaugeline.plans import forecast, job, metrics, sweep, training  # noqa: E402
 from gaugeline.plans.classify import classify_vectors  # noqa: E402
 from gaugeline.session import scratch_dir  # noqa: E402
 from gaugeline.sinks import examples as example_sink  # noqa: E402
@@ -97,6 +97,19 @@ def _predictions(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     )
 
 
+def _usage_files(spark: SparkSession, sf_dir: str) -> str:
+    """Usage files with separate date and time columns and a header."""
+    target = scratch_dir(spark)
+    _events(spark, sf_dir).select(
+        "event_id",
+        "event_type",
+        F.date_format("ts", "yyyy/MM/dd").alias("Date"),
+        F.date_format("ts", "HH:mm:ss").alias("time"),
+        F.col("value").alias("%used"),
+    ).write.option("header", True).csv(target)
+    return target
+
+
 def _stamp(column: str):
     return times.time_text(F.col(column))
 
@@ -151,6 +164,17 @@ predicted AS (
 )"""
 )
 
+# Usage files hold whole seconds.
+_SECONDS_FIT = _FIT.replace(
+    "FROM events",
+    "FROM (SELECT event_id, event_type, date_trunc('second', ts) AS ts, value FROM events)",
+)
+_MESSAGE = (
+    "printf('"
+    + projections.ALERT_MESSAGE.replace("%s : %s", "%s : %.6f")
+    + f"', {_STAMP.format('window_end')}, prediction)"
+)
+
 _LINE_FIT = """
 cells AS (
   SELECT *, row_idx // 60 AS window_id, row_idx % 60 AS pos
@@ -198,17 +222,42 @@ best AS (
     "anomaly_alerts",
     f"""WITH {_PREDICTED}
     SELECT event_type, window_id, round(prediction, 6) AS prediction,
-           'Warning! Anomaly memory usage rate is predicted : '
-             || {_STAMP.format('window_end')} AS message
+           {_MESSAGE} AS message
     FROM predicted WHERE prediction >= 50""",
 )
 def anomaly_alerts(spark, sf_dir):
-    alerts = projections.threshold_alerts(_predictions(spark, sf_dir))
+    alerts = projections.threshold_alerts(_predictions(spark, sf_dir), decimals=6)
     return alerts.select(
-        "event_type",
-        "window_id",
-        F.round("prediction", 6).alias("prediction"),
-        F.regexp_replace("message", " : [^:]*$", "").alias("message"),
+        "event_type", "window_id", F.round("prediction", 6).alias("prediction"), "message"
+    )
+
+
+@query(
+    "telemetry_alerts",
+    f"""WITH {_SECONDS_FIT},
+    predicted AS (
+      SELECT f.event_type AS series, f.window_id, f.window_end, s.score * f.scale + f.center AS prediction
+      FROM fit f JOIN scores s ON s.event_type = f.event_type AND s.n = 60
+       AND s.window_id = CASE WHEN f.n = 60 THEN f.window_id ELSE f.window_id - 1 END)
+    SELECT series, window_id, round(prediction, 6) AS prediction, {_MESSAGE} AS message,
+           count(*) OVER () AS alerts, (SELECT count(*) FROM predicted) AS predictions,
+           (SELECT count(*) FROM predicted) AS report_lines
+    FROM predicted WHERE prediction >= 50""",
+)
+def telemetry_alerts(spark, sf_dir):
+    """Usage files to the alerts of a run; its JSON and report lines are read back and counted."""
+    target, schema = _usage_files(spark, sf_dir), "event_id bigint, event_type string, Date string, time string, `%used` double"
+    raw = telemetry.read_telemetry(spark, target, schema)
+    rows = telemetry.normalize_telemetry(raw, series="event_type", keep=["event_id"])
+    run = job.forecast_run(rows, scratch_dir(spark), SIZE, ["event_id"], decimals=6)
+    stored = predictions.prediction_values(predictions.read_predictions(spark, run.folder))
+    lines = predictions.read_report(spark, run.report)
+    n = lambda df, name: df.agg(F.count("prediction").alias(name))
+    return (
+        run.alerts.select("series", "window_id", F.round("prediction", 6).alias("prediction"), "message")
+        .withColumn("alerts", F.lit(run.alerts.count()).cast("bigint"))
+        .withColumn("predictions", n(stored, "n").scalar())
+        .withColumn("report_lines", n(lines, "n").scalar())
     )
 
 
@@ -238,16 +287,15 @@ def score_windows(spark, sf_dir):
     SELECT event_type, window_id, 'window_mean', round(mean_prediction, 6) FROM predicted""",
 )
 def score_by_signature(spark, sf_dir):
-    parts = [
-        _predictions(spark, sf_dir, signature=name).select(
-            "event_type",
-            "window_id",
-            F.lit(name).alias("signature"),
-            F.round("prediction", 6).alias("prediction"),
-        )
-        for name in ("ramp_tanh", "window_mean")
-    ]
-    return parts[0].union(parts[1])
+    """Two models over the same windows, built once."""
+    names = ["ramp_tanh", "window_mean"]
+    scaled = forecast.scaled_windows(_events(spark, sf_dir), ORDER, "value", SIZE, SERIES)
+    for name in names:
+        scaled = scoring.score(scaled, "value_scaled", name, [SIZE], name)
+    restored = scaling.robust_inverse(scaled, {name: "value" for name in names})
+    return restored.select("event_type", "window_id", F.explode(F.array(*[
+        F.struct(F.lit(name).alias("signature"), F.round(name, 6).alias("prediction")) for name in names
+    ])).alias("r")).select("event_type", "window_id", "r.signature", "r.prediction")
 
 
 @query(
@@ -858,15 +906,10 @@ def csv_scan_inferred(spark, sf_dir):
 )
 def telemetry_normalized(spark, sf_dir):
     """A usage file with separate date and time columns, read by its header."""
-    target = scratch_dir(spark)
-    _events(spark, sf_dir).select(
-        "event_type",
-        F.date_format("ts", "yyyy/MM/dd").alias("Date"),
-        F.date_format("ts", "HH:mm:ss").alias("time"),
-        F.col("value").alias("%used"),
-    ).write.option("header", True).csv(target)
     raw = telemetry.read_telemetry(
-        spark, target, "event_type string, Date string, time string, `%used` double"
+        spark,
+        _usage_files(spark, sf_dir),
+        "event_id bigint, event_type string, Date string, time string, `%used` double",
     )
     return telemetry.normalize_telemetry(raw, series="event_type").withColumn("ts", _stamp("ts"))
 
@@ -944,14 +987,30 @@ def _example_rows(df: DataFrame) -> DataFrame:
 @query("examples_to_csv", _EXAMPLE_ROWS_SQL)
 def examples_to_csv(spark, sf_dir):
     target = scratch_dir(spark)
-    example_sink.write_example_lines(_images(spark, sf_dir), target, files=10)
+    example_sink.write_example_lines(_images(spark, sf_dir), target)
     return _example_rows(examples.read_example_lines(spark, target))
 
 
+@query(
+    "train_test_export",
+    f"""WITH {_IMAGES}
+    SELECT CASE WHEN ('0x' || md5(vec_id::VARCHAR)[1:8])::BIGINT % 100 < 20 THEN 'test' ELSE 'train' END AS "set",
+           label, array_to_string(image, ' ') AS image, count(*) AS n FROM images GROUP BY ALL""",
+)
+def train_test_export(spark, sf_dir):
+    """Both sets written in one pass, each read back from its own folder."""
+    folders = example_sink.write_train_test(_images(spark, sf_dir), scratch_dir(spark), "vec_id", 20)
+    train, test = (
+        _example_rows(examples.read_example_lines(spark, folder)).withColumn("set", F.lit(name))
+        for name, folder in folders.items()
+    )
+    return train.unionByName(test)
+
+
 @query("examples_to_records", _EXAMPLE_ROWS_SQL)
 def examples_to_records(spark, sf_dir):
     target = scratch_dir(spark)
-    example_sink.write_example_records(_images(spark, sf_dir), target, files=10)
+    example_sink.write_example_records(_images(spark, sf_dir), target)
     return _example_rows(examples.read_example_records(spark, target))
 
 
@@ -1057,17 +1116,38 @@ def fit_forecaster(spark, sf_dir):
     )
 
 
-@query("forecast_fitted")
+@query(
+    "forecast_fitted",
+    f"""WITH {_CELLS.replace("// 60", "// 2").replace("% 60", "% 2")},
+    windows AS (
+      SELECT event_type, window_id, max(value) FILTER (pos = 0) AS a, max(value) FILTER (pos = 1) AS b,
+             count(*) AS n, max(ts) AS window_end
+      FROM cells GROUP BY event_type, window_id),
+    examples AS (
+      SELECT a, b, lead(a) OVER (PARTITION BY event_type ORDER BY window_id) AS y, n FROM windows),
+    moments AS (
+      SELECT var_pop(a) AS aa, var_pop(b) AS bb, covar_pop(a, b) AS ab, covar_pop(a, y) AS ay,
+             covar_pop(b, y) AS yb, avg(a) AS ma, avg(b) AS mb, avg(y) AS my
+      FROM examples WHERE n = 2 AND y IS NOT NULL),
+    slopes AS (
+      SELECT (ay * bb - yb * ab) / (aa * bb - ab * ab) AS wa, (yb * aa - ay * ab) / (aa * bb - ab * ab) AS wb,
+             ma, mb, my FROM moments)
+    SELECT event_type, window_id, {_STAMP.format('window_end')} AS window_end,
+           round(wa * (a - ma) + wb * (b - mb) + my, 5) AS prediction
+    FROM windows, slopes WHERE n = 2""",
+)
 def forecast_fitted(spark, sf_dir):
-    """Fit on full 60-row windows, predict with the fitted model. No SQL: 61 unknowns."""
+    """Fit the next value on two-row windows, predict with the fitted model: three unknowns."""
     events = _events(spark, sf_dir)
     model = (
-        WindowForecaster(seriesCols=SERIES, orderCols=ORDER, timeCol="ts")
+        WindowForecaster(seriesCols=SERIES, orderCols=ORDER, timeCol="ts", windowSize=2, scaling="none")
         .setInputMapping({"value": "window"})
         .setOutputMapping({"score": "prediction"})
         .fit(events)
     )
-    return model.transform(events).withColumn("window_end", _stamp("window_end"))
+    return model.transform(events).select(
+        "event_type", "window_id", _stamp("window_end").alias("window_end"), F.round("prediction", 5).alias("prediction")
+    )
 
 
 @query(
@@ -1083,14 +1163,18 @@ def training_feed(spark, sf_dir):
 
 @query(
     "run_metrics",
-    """SELECT 'events' AS stage, count(*) AS n_rows, min(value) AS low, max(value) AS high,
+    f"""WITH {_CELLS}
+    SELECT 'rows ' || l.n AS stage, count(*) AS n_rows, min(value) AS low, max(value) AS high,
            round(avg(value), 6) AS mean
-    FROM events""",
+    FROM cells, (SELECT unnest({SWEEP}) AS n) l WHERE row_idx < l.n GROUP BY l.n""",
 )
 def run_metrics(spark, sf_dir):
-    seen = metrics.measure(_events(spark, sf_dir), "value", metrics.consume, "events")
+    """What each step of a sweep over history lengths processed."""
+    events = _events(spark, sf_dir)
+    steps = ((f"rows {n}", projections.prefix_rows(events, n, ORDER, SERIES)) for n in SWEEP)
+    seen = metrics.measure_each(steps, "value", metrics.consume)
     return spark.createDataFrame(
-        [(seen.stage, seen.rows, seen.low, seen.high, round(seen.mean, 6))],
+        [(m.stage, m.rows, m.low, m.high, round(m.mean, 6)) for m in seen],
         "stage string, n_rows bigint, low double, high double, mean double",
     )
 

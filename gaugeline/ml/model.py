@@ -8,9 +8,11 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from gaugeline.ml.scorers import DEFAULT_SIGNATURE
-from gaugeline.operators.scoring import BATCH_SIZE
+from gaugeline.ml.scorers import DEFAULT_SIGNATURE, lookup
+from gaugeline.operators.projections import output_mapping
+from gaugeline.operators.scoring import BATCH_SIZE, score
 from gaugeline.operators.windows import WINDOW_SIZE
 from gaugeline.plans.forecast import predict_windows
 from gaugeline.plans.training import lag_features
@@ -67,11 +69,16 @@ class WindowParams(Params):
         Params._dummy(), "batchSize", "windows per model call", typeConverter=TypeConverters.toInt
     )
     epochs = Param(
-        Params._dummy(), "epochs", "passes over the training data",
+        Params._dummy(), "epochs", "rounds of maxIter steps, for solver l-bfgs",
         typeConverter=TypeConverters.toInt,
     )
     maxIter = Param(
-        Params._dummy(), "maxIter", "optimizer steps per epoch", typeConverter=TypeConverters.toInt
+        Params._dummy(), "maxIter", "optimizer steps per epoch, for solver l-bfgs",
+        typeConverter=TypeConverters.toInt,
+    )
+    solver = Param(
+        Params._dummy(), "solver", "normal (exact, one pass) or l-bfgs (maxIter * epochs steps)",
+        typeConverter=TypeConverters.toString,
     )
     modelPath = Param(
         Params._dummy(), "modelPath", "saved model the scorer loads",
@@ -98,6 +105,7 @@ class WindowParams(Params):
             batchSize=BATCH_SIZE,
             epochs=1,
             maxIter=1000,
+            solver="normal",
             signature=DEFAULT_SIGNATURE,
             args={},
         )
@@ -110,7 +118,7 @@ class WindowParams(Params):
         return {**self.getOrDefault("args"), **values}
 
     def scorer_options(self) -> dict:
-        options = dict(self.getOrDefault("args"))
+        options = self.merged_args()
         if self.isDefined("modelPath"):
             options["model_path"] = self.getOrDefault("modelPath")
         if self.getInputMapping():
@@ -204,6 +212,12 @@ class WindowParams(Params):
     def getMaxIter(self) -> int:
         return self.getOrDefault("maxIter")
 
+    def setSolver(self, value: str):
+        return self._set(solver=value)
+
+    def getSolver(self) -> str:
+        return self.getOrDefault("solver")
+
     def setModelPath(self, value: str):
         return self._set(modelPath=value)
 
@@ -251,6 +265,32 @@ class WindowForecastModel(Model, WindowParams, DefaultParamsReadable, DefaultPar
         )
 
 
+class VectorModel(Model, WindowParams, DefaultParamsReadable, DefaultParamsWritable):
+    """Rows with array columns in, the same rows with one column per mapped output out.
+
+    ``inputMapping`` names the array columns, ``outputMapping`` the outputs; rows
+    stay where they are, so there is no shuffle.
+    """
+
+    @keyword_only
+    def __init__(self, **params):
+        super().__init__()
+        self._set_defaults()
+        self._set(**params)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        signature, mapping = self.getSignature(), self.getOutputMapping()
+        names = list(lookup(signature).outputs) or sorted(mapping)
+        options = {**self.scorer_options(), "outputs": names}
+        scored = score(
+            dataset, self.input_columns(), signature, self.getOrDefault("inputShape"), "__out",
+            self.getBatchSize(), options,
+        )
+        if len(names) == 1:
+            scored = scored.withColumn("__out", F.struct(F.col("__out").alias(names[0])))
+        return output_mapping(scored, mapping, "__out", keep=dataset.columns)
+
+
 class WindowForecaster(Estimator, WindowParams, DefaultParamsReadable, DefaultParamsWritable):
     """Fits the next value of the last mapped column on windows of all mapped columns.
 
@@ -280,7 +320,9 @@ class WindowForecaster(Estimator, WindowParams, DefaultParamsReadable, DefaultPa
         examples = examples.select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
         try:
             fitted = LinearRegression(
-                maxIter=self.getMaxIter() * self.getEpochs(), standardization=False
+                solver=self.getSolver(),
+                maxIter=self.getMaxIter() * self.getEpochs(),
+                tol=1e-12,
             ).fit(examples)
         finally:
             examples.unpersist()

@@ -3,7 +3,7 @@
 A scorer is a factory ``factory(options) -> predict`` plus its named outputs.
 ``predict`` takes one NumPy array per model input (batch first) and returns one
 array, or a dict of arrays by output name. The factory runs once per Python
-worker, so that is where a model file is loaded. A scorer without declared
+worker. A scorer without declared
 outputs takes their names from the output mapping, one double each.
 """
 
@@ -14,6 +14,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 DEFAULT_SIGNATURE = "serving_default"
@@ -21,8 +22,22 @@ DEFAULT_SIGNATURE = "serving_default"
 
 @dataclass(frozen=True)
 class Scorer:
+    """``parse`` turns the bytes of a small file at ``model_path`` into options, once on the driver."""
+
     factory: Callable[[dict], Callable]
     outputs: dict[str, T.DataType] = field(default_factory=lambda: {"score": T.DoubleType()})
+    parse: Callable[[bytes], dict] | None = None
+
+
+def with_model_file(spark: SparkSession, scorer: Scorer, options: dict) -> dict:
+    """``options`` with the content of the model file, read by Spark from any storage it knows.
+
+    Scorers without ``parse`` open ``model_path`` themselves, on the worker.
+    """
+    if scorer.parse is None or "model_path" not in options:
+        return options
+    (content,) = spark.read.format("binaryFile").load(options["model_path"]).select("content").first()
+    return {**options, **scorer.parse(bytes(content))}
 
 
 def _ramp(x: np.ndarray) -> np.ndarray:
@@ -70,13 +85,9 @@ def folded_classes(options: dict) -> Callable:
 
 
 def linear(options: dict) -> Callable:
-    """Fitted linear model, from ``coefficients``/``intercept`` or a JSON file at ``model_path``."""
-    weights = options
-    if "coefficients" not in weights:
-        with open(options["model_path"], encoding="utf-8") as f:
-            weights = json.load(f)
-    coefficients = np.asarray(weights["coefficients"], dtype=np.float64)
-    intercept = float(weights["intercept"])
+    """Fitted linear model: ``coefficients`` and ``intercept``, given or from a JSON file at ``model_path``."""
+    coefficients = np.asarray(options["coefficients"], dtype=np.float64)
+    intercept = float(options["intercept"])
 
     def predict(*inputs):
         return np.concatenate(inputs, axis=1) @ coefficients + intercept
@@ -103,4 +114,4 @@ register("ramp_tanh", Scorer(ramp_tanh))
 register("window_mean", Scorer(window_mean))
 register("ramp_pair", Scorer(ramp_pair, {"gap": T.DoubleType(), "level": T.DoubleType()}))
 register("folded_classes", Scorer(folded_classes, {"scores": T.ArrayType(T.DoubleType())}))
-register("linear", Scorer(linear))
+register("linear", Scorer(linear, parse=json.loads))

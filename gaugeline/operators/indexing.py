@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugeline.functions.names import col, cols, name_list
-from gaugeline.session import scratch_dir
+from gaugeline.session import written
 
 SPLIT_ROWS = 2_000_000
 MAX_RANGES = 10_000
@@ -51,12 +51,6 @@ _ALL = "__all"
 _FINE_BITS = 32
 
 
-def _written(df: DataFrame) -> DataFrame:
-    path = scratch_dir(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _same(names: list[str], keys: list[str]) -> Column:
     """Null-safe match of columns with a lookup table's key columns."""
     match = col(names[0]).eqNullSafe(F.col(keys[0]))
@@ -95,7 +89,7 @@ class _Ranges:
         top = 1 << 63
         chance = step * top // max(1, split_rows)
         draw = F.shiftrightunsigned(F.xxhash64(*cols(series), *cols(order)), 1)
-        sample = _written(
+        sample = written(
             df.select(
                 *[col(s).alias(k) for s, k in zip(series, self.keys)],
                 *[col(o).alias(f"o{i}") for i, o in enumerate(order)],
@@ -115,12 +109,12 @@ class _Ranges:
             return
         self.thin = max(1, math.ceil(points / (step * max_ranges)))
         kept = sample.where(F.col("__draw") <= F.lit(min(chance, top - 1) // self.thin)) if self.thin > 1 else sample
-        self.coarse = _written(self._points(kept, self.keys, step))
+        self.coarse = written(self._points(kept, self.keys, step))
         self.longest = self._longest(self.coarse)
         if self.thin > 1:
             names = [f"o{i}" for i in range(len(order))]
             placed = self._coarse_range(sample, names, self.keys)
-            self.fine = _written(self._points(placed, [*self.keys, _COARSE], step))
+            self.fine = written(self._points(placed, [*self.keys, _COARSE], step))
             self.longest_fine = self._longest(self.fine)
 
     def _points(self, sample: DataFrame, by: list[str], step: int) -> DataFrame:
@@ -164,7 +158,7 @@ class _Ranges:
             looked_up = self.fine_lookup(ranged, self.fine, [_CUTS])
             ranged = _search(looked_up, self.order, _FINE, self.longest_fine)
         keys = [col(s).alias(k) for s, k in zip(self.series, self.keys)]
-        return _written(ranged.groupBy(*keys, _COARSE, _FINE).agg(F.count(F.lit(1)).alias("__rows")))
+        return written(ranged.groupBy(*keys, _COARSE, _FINE).agg(F.count(F.lit(1)).alias("__rows")))
 
 
 def place_rows(

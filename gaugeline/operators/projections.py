@@ -65,13 +65,17 @@ def threshold_alerts(
     threshold: float = ALERT_THRESHOLD,
     prediction: str = "prediction",
     time: str = "window_end",
+    decimals: int | None = None,
 ) -> DataFrame:
-    """Rows at or above the threshold with a ``message`` naming the window's time and value."""
+    """Rows at or above the threshold with a ``message`` naming the window's time and value.
+
+    The value is written in full, or with ``decimals`` places.
+    """
     hit = predictions.where(is_alert(col(prediction), threshold))
-    return hit.withColumn(
-        "message",
-        F.format_string(ALERT_MESSAGE, time_text(col(time)), col(prediction).cast("string")),
-    )
+    value = col(prediction).cast("string")
+    if decimals is not None:
+        value = F.format_string(f"%.{decimals}f", col(prediction))
+    return hit.withColumn("message", F.format_string(ALERT_MESSAGE, time_text(col(time)), value))
 
 
 def training_feed(df: DataFrame, columns: Iterable[str], epochs: int = 1) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from gaugeline.functions.names import cols, name_list
-from gaugeline.ml.scorers import Scorer, lookup
+from gaugeline.ml.scorers import Scorer, lookup, with_model_file
 
 BATCH_SIZE = 100
 
@@ -48,8 +48,8 @@ def score(
     """Add the column ``output`` with the scorer's result for every row.
 
     ``shape`` is what the model expects of one row of each input, for example
-    ``[60]``, ``[60, 1]`` or ``[28, 28, 1]``; columns hold flat arrays. A scorer with one output gives a plain column, one with several a struct
-    with a field per output name; ``options["outputs"]`` names those of a scorer
+    ``[60]``, ``[60, 1]`` or ``[28, 28, 1]``; columns hold flat arrays. A scorer
+    with one output gives a plain column, one with several a struct with a field per output name; ``options["outputs"]`` names those of a scorer
     that declares none. Every output must have one item per row.
 
     The function is declared non-deterministic for the optimizer's sake only: a
@@ -57,7 +57,7 @@ def score(
     a second time.
     """
     scorer: Scorer = lookup(signature)
-    settings = dict(options or {})
+    settings = with_model_file(df.sparkSession, scorer, dict(options or {}))
     factory = scorer.factory
     named = scorer.outputs or {n: T.DoubleType() for n in settings["outputs"]}
     if len(named) == 1:
@@ -96,7 +96,8 @@ def score_shards(
     """
     scorer = lookup(signature)
     (result_type,) = scorer.outputs.values()
-    settings, keep, factory = dict(options or {}), list(keep), scorer.factory
+    settings = with_model_file(df.sparkSession, scorer, dict(options or {}))
+    keep, factory = list(keep), scorer.factory
     source = df.select(*cols([*keep, vector]))
 
     schema = T.StructType([source.schema[k] for k in keep] + [T.StructField(output, result_type)])

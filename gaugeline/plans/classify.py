@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 
 from gaugeline.functions import vectors
 from gaugeline.functions.names import col, cols
-from gaugeline.operators.scoring import score
+from gaugeline.ml.model import VectorModel
+from gaugeline.ml.scorers import lookup
 
 # Examples per model call; cells of one image.
 EXAMPLE_BATCH = 10
@@ -33,5 +34,9 @@ def classify_vectors(
         col(label).cast("bigint").alias("label"),
         vectors.normalize(col(vector), high).alias("__vector"),
     )
-    scored = score(ready, "__vector", signature, shape or IMAGE_SHAPE, "__scores", batch_size, options)
+    model = VectorModel(
+        signature=signature, inputShape=list(shape or IMAGE_SHAPE), batchSize=batch_size, args=options or {}
+    )
+    (output,) = lookup(signature).outputs
+    scored = model.setInputMapping({"__vector": "x"}).setOutputMapping({output: "__scores"}).transform(ready)
     return scored.select(*cols(keep), "label", vectors.argmax(col("__scores")).alias("pred"))

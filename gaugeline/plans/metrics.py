@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation
@@ -44,6 +44,13 @@ def measure(
     return RunMetrics(stage=stage, seconds=seconds, **seen.get)
 
 
+def measure_each(
+    frames: Iterable[tuple[str, DataFrame]], value: str, action: Callable[[DataFrame], None]
+) -> list[RunMetrics]:
+    """``measure`` for one frame after the other: the stages of a run, or the steps of a sweep."""
+    return [measure(df, value, action, stage) for stage, df in frames]
+
+
 def consume(df: DataFrame) -> None:
     """Run the whole plan and keep nothing."""
     df.write.format("noop").mode("overwrite").save()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "gaugeline", master: str | None = None, **conf) -> SparkSession:
@@ -46,3 +46,10 @@ def scratch_dir(spark: SparkSession) -> str:
         base = tempfile.mkdtemp(prefix="gaugeline-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/gaugeline-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written below the shared folder and read back: computed once, lineage ends here."""
+    path = scratch_dir(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,4 +1,4 @@
-"""Prediction and alert files of a run."""
+"""Prediction and report files of a run."""
 
 from __future__ import annotations
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugeline.functions.names import col
+from gaugeline.functions.names import col, cols
 from gaugeline.functions.times import DATE_FORMAT, EVENT_TIME_FORMAT, TIME_FORMAT, event_time
 
 
@@ -25,8 +27,12 @@ def normalize_telemetry(
     time: str = "time",
     series: str | None = None,
     fmt: str = EVENT_TIME_FORMAT,
+    keep: Iterable[str] = (),
 ) -> DataFrame:
-    """``series``, ``ts``, ``value`` out of date, time and usage columns.
+    """``series``, ``ts``, ``value`` out of date, time and usage columns, and the ``keep`` columns.
+
+    Keep an id where times repeat and order by ``(ts, id)``. Without one, order by
+    ``(ts, value)``: readings that share both can change places unnoticed.
 
     Schema inference may have turned the date or the time of day into a
     timestamp (of today); their texts are restored before they are joined.
@@ -39,4 +45,5 @@ def normalize_telemetry(
         key.cast("string").alias("series"),
         event_time(date, time, fmt).alias("ts"),
         col(value).cast("double").alias("value"),
+        *cols(keep),
     )

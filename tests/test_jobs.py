@@ -14,9 +14,9 @@ from pyspark.sql import types as T
 
 from gaugeline.functions import times, vectors
 from gaugeline.ml import scorers
-from gaugeline.ml.model import WindowForecaster, WindowForecastModel
+from gaugeline.ml.model import VectorModel, WindowForecaster, WindowForecastModel
 from gaugeline.operators import projections, scoring, sharding
-from gaugeline.plans import metrics, sweep
+from gaugeline.plans import job, metrics, sweep
 from gaugeline.session import scratch_dir
 from gaugeline.sinks import examples as example_sink
 from gaugeline.sinks import predictions as prediction_sink
@@ -81,11 +81,44 @@ def test_params(spark):
         model.transform(spark.range(1))
 
 
-def test_model_file_is_loaded_by_workers(spark, usage, tmp_path):
+def test_steps_of_the_iterative_fit_count(spark, usage):
+    def fitted(**params):
+        estimator = WindowForecaster(orderCols=["ts"], windowSize=2, scaling="none", **params)
+        args = estimator.setInputMapping({"%used": "window"}).fit(usage).getArgs()
+        return np.array([*args["coefficients"], args["intercept"]])
+
+    exact = fitted()
+    assert np.allclose(fitted(solver="l-bfgs", maxIter=50, epochs=2), exact, rtol=1e-5)
+    assert np.allclose(fitted(solver="l-bfgs", maxIter=1, epochs=3), fitted(solver="l-bfgs", maxIter=3))
+    assert not np.allclose(fitted(solver="l-bfgs", maxIter=1), exact, rtol=1e-5)
+
+
+def test_merged_args_reach_the_scorer(spark, usage):
+    scorers.register("told", scorers.Scorer(lambda options: lambda x: np.full(len(x), options["batchSize"] + options["extra"])))
+    model = WindowForecastModel(orderCols=["ts"], signature="told", batchSize=7, args={"batchSize": 1, "extra": 2}, scaling="none")
+    assert {r.prediction for r in model.setInputMapping({"%used": "x"}).transform(usage).collect()} == {9.0}
+
+
+def test_vector_model(spark, tmp_path):
+    rows = [(i, [float(i), 1.0, -2.0, 5.0], [0.5] * 4) for i in range(7)]
+    df = spark.createDataFrame(rows, "id int, a array<double>, b array<double>")
+    model = VectorModel(signature="folded_classes", inputShape=[4], args={"classes": 2}, batchSize=3)
+    model.setInputMapping({"a": "x"}).setOutputMapping({"scores": "s"})
+    model.write().save(f"{tmp_path}/vectors")
+    for m in (model, VectorModel.load(f"{tmp_path}/vectors")):
+        out = m.transform(df)
+        assert out.columns == ["id", "a", "b", "s"]
+        assert {r.id: r.s for r in out.collect()} == {i: [i - 2.0, 6.0] for i in range(7)}
+    pair = VectorModel(signature="ramp_pair", inputShape=[4]).setInputMapping({"a": "a", "b": "b"})
+    row = pair.setOutputMapping({"gap": "g", "level": "l"}).transform(df).where("id = 0").first()
+    assert math.isclose(row.l, np.tanh(1.6)) and math.isclose(row.g, np.tanh(1.6) - np.tanh(0.5))
+
+
+def test_model_file_is_read_through_spark(spark, usage, tmp_path):
     path = tmp_path / "weights.json"
     path.write_text(json.dumps({"coefficients": [0.0] * 59 + [1.0], "intercept": 0.0}))
     model = (
-        WindowForecastModel(orderCols=["ts"], signature="linear", modelPath=str(path))
+        WindowForecastModel(orderCols=["ts"], signature="linear", modelPath=f"file:{path}")
         .setInputMapping({"%used": "window"})
         .setOutputMapping({"score": "prediction"})
     )
@@ -221,6 +254,32 @@ def test_telemetry_file(spark, tmp_path):
     assert (row.series, row.ts, row.value) == ("all", datetime(2020, 10, 26, 21, 42, 45), 51.5)
 
 
+def test_tied_times_give_the_same_windows(spark):
+    """Two readings a minute, ordered by id or, without one, by value: any partitioning agrees."""
+    rng = np.random.default_rng(2)
+    minute = [(START + timedelta(minutes=i // 2)) for i in range(300)]
+    rows = [(i, t.strftime("%Y/%m/%d"), t.strftime("%H:%M:%S"), float(v)) for i, (t, v) in enumerate(zip(minute, rng.normal(50, 9, 300)))]
+    raw = spark.createDataFrame(rows, "id int, Date string, time string, `%used` double")
+    for ids in (["id"], []):
+        seen = []
+        for parts in (1, 4, 8):
+            table = telemetry.normalize_telemetry(raw.orderBy(F.rand(parts)).repartition(parts), keep=ids)
+            run = job.forecast_run(table, scratch_dir(spark), 40, ids, threshold=-1e9, decimals=6)
+            stored = predictions.prediction_values(predictions.read_predictions(spark, run.folder))
+            assert stored.count() == predictions.read_report(spark, run.report).count() == 8
+            seen.append({(r.window_id, r.message) for r in run.alerts.collect()})
+        assert len(seen[0]) == 8 and seen[0] == seen[1] == seen[2]
+
+
+def test_train_and_test_sets(spark):
+    df = spark.createDataFrame([(i, i % 3, [i, i]) for i in range(200)] + [(None, 0, [9, 9])], "id bigint, label int, image array<bigint>")
+    folders = example_sink.write_train_test(df, scratch_dir(spark), "id", 30, records=25)
+    count = {n: examples.read_example_lines(spark, p).count() for n, p in folders.items()}
+    assert sum(count.values()) == 201 and 30 <= count["test"] <= 90
+    files_written = spark.read.text(folders["train"]).select(F.input_file_name().alias("f")).groupBy("f").count()
+    assert files_written.agg(F.max("count")).first()[0] <= 25
+
+
 def test_shards_and_examples(spark):
     df = spark.createDataFrame([(i, i % 3, [i, 2 * i]) for i in range(40)], "id bigint, label bigint, image array<bigint>")
     lines = scratch_dir(spark)
@@ -280,6 +339,8 @@ def test_sweep_equals_separate_runs(spark, usage):
 def test_run_metrics(spark, usage):
     seen = metrics.measure(usage, "%used", metrics.consume, "usage")
     assert seen.rows == 200 and seen.low <= seen.mean <= seen.high and seen.seconds > 0
+    steps = metrics.measure_each([("a", usage), ("b", usage.limit(0))], "%used", metrics.consume)
+    assert [(m.stage, m.rows) for m in steps] == [("a", 200), ("b", 0)] and all(m.seconds > 0 for m in steps)
 
 
 def test_scores_of_several_types(spark):
