@@ -1,14 +1,19 @@
-"""SentencePiece encoding and decoding through tables of distinct chunks.
-
-A chunk is a run of whitespace markers with what follows up to the next one.
-Where no piece of the vocabulary holds a marker after another character, pieces
-cannot cross chunks, so a chunk is segmented alike wherever it stands. Each task
-keeps a table of the distinct chunks it has seen, segments new ones once, and
-puts the ids of a text together by the positions of its chunks. The table is
-emptied at ``TABLE_CHUNKS`` entries, which bounds a task's memory and changes no
-result. (One table for the whole corpus would need every chunk occurrence
-shuffled to it and back, several times the text.) A vocabulary whose pieces do
-cross markers is encoded text by text.
+"""SentencePiece encoding and decoding through one table of distinct chunks.
+
+A chunk is a whitespace marker, or a run of them, with what follows up to the
+next one. Where no piece of the vocabulary holds a marker after another
+character, pieces cannot cross chunks, so a chunk is segmented alike wherever it
+stands:
+
+1. texts are cut into slices of a few MB; a slice is written as its distinct
+   chunks and, for every place, the number of its chunk, packed;
+2. every distinct chunk of the corpus is segmented once;
+3. a slice's chunks meet their ids in an equi-join on the chunk, and the ids
+   return to their slice, where places turn numbers into ids.
+
+Texts are not shuffled: a frequent chunk travels once for each slice that has
+it, and what returns to a slice is bounded by the slice. A vocabulary whose
+pieces do cross markers, or that rewrites texts, is encoded text by text.
 """
 
 from __future__ import annotations
@@ -16,55 +21,129 @@ from __future__ import annotations
 import re
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.llm.common import slices, texts_of
+from gaugeline.llm.common import hand_off, slices, texts_of
+from gaugeline.llm.packed import pack, small, unpack
 
-TABLE_CHUNKS = 400_000
 MARK = "▁"
 _CHUNK = re.compile(r" +[^ ]*")
-_SCHEMA = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
+_IDS = pa.list_(pa.int32())
+_SCHEMA = pa.schema([("doc_id", pa.int64()), ("ids", _IDS), ("decoded", pa.string())])
+_SLICES = pa.schema(
+    [("slice", pa.int64()), ("docs", pa.list_(pa.int64())), ("places", pa.binary()), ("chunks", pa.list_(pa.string()))]
+)
+
+
+def _load(model: bytes):
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_proto=model)
+
+
+def chunks_stand_alone(model: bytes) -> bool:
+    """Whether no piece has a marker after another character, and the marks are plain:
+    one is put before a text, each space gives one and nothing else changes."""
+    own = _load(model)
+    pieces = (own.id_to_piece(i) for i in range(own.get_piece_size()))
+    plain = all(MARK not in p.lstrip(MARK) for p in pieces)
+    probe = "  a  b\n\t c "
+    return plain and own.normalize(probe) == MARK + probe.replace(" ", MARK)
+
+
+def chunks_of(text: str) -> list[str]:
+    """A marker stands before every text but an empty one; a literal marker is a space."""
+    return _CHUNK.findall(" " + text.replace(MARK, " ")) if text else []
+
+
+def segment(own, chunks: list[str]) -> list[list[int]]:
+    """Ids of chunks. The library adds the first marker itself; a marker alone is its own piece."""
+    alone = [own.piece_to_id(MARK)]
+    return [alone if c == " " else ids for c, ids in zip(chunks, own.encode([c[1:] for c in chunks], num_threads=1))]
+
+
+def _slice_rows(batches):
+    """One row for every slice of texts: ids of its documents, its distinct chunks, and its places."""
+    task, number = TaskContext.get(), 0
+    first = (task.partitionId() if task else 0) << 32
+    for batch in slices(batches, "text"):
+        parts = [chunks_of(t) for t in texts_of(batch).to_pylist()]
+        coded = pa.array(chain.from_iterable(parts), pa.string()).dictionary_encode()
+        places = pack(small(np.array([len(p) for p in parts], np.int64)), small(coded.indices.to_numpy()))
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([first + number], pa.int64()),
+                pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column("doc_id")),
+                pa.array([places], pa.binary()),
+                pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary),
+            ],
+            schema=_SLICES,
+        )
+        number += 1
+
+
+def _joined_ids(places: bytes, table: pa.ListArray) -> pa.ListArray:
+    """The ids of every text of a slice: its places looked up in the slice's ids by chunk number."""
+    lengths, codes = unpack(places)
+    codes = codes.astype(np.int64)
+    offsets, flat = table.offsets.to_numpy().astype(np.int64), table.values.to_numpy()
+    count = np.diff(offsets)[codes]
+    ends = np.concatenate([[0], np.cumsum(count)])
+    at = np.arange(ends[-1]) + np.repeat(offsets[:-1][codes] - ends[:-1], count)
+    texts = np.concatenate([[0], np.cumsum(lengths.astype(np.int64))])
+    return pa.ListArray.from_arrays(pa.array(ends[texts].astype(np.int32)), pa.array(flat[at], pa.int32()))
+
+
+def _through_table(narrow: DataFrame, model: bytes) -> DataFrame:
+    cut = hand_off(
+        narrow.mapInArrow(_slice_rows, "slice long, docs array<long>, places binary, chunks array<string>")
+    )
+    found = cut.select("slice", F.posexplode("chunks").alias("number", "chunk"))
 
+    def segment_rows(batches):
+        own = _load(model)
+        for batch in batches:
+            ids = segment(own, batch.column("chunk").to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column("chunk"), pa.array(ids, _IDS)], names=["chunk", "ids"])
+
+    table = found.select("chunk").distinct().mapInArrow(segment_rows, "chunk string, ids array<int>")
+    # Sort-merge joins at every size: neither the table nor the slices are bounded.
+    back = (
+        found.join(table.hint("merge"), "chunk")
+        .groupBy("slice")
+        .agg(F.sort_array(F.collect_list(F.struct("number", "ids"))).getField("ids").alias("ids"))
+    )
+    whole = cut.select("slice", "docs", "places").join(back.hint("merge"), "slice", "left")
 
-class ChunkEncoder:
-    """Encodes whole texts exactly as the library does, without begin or end ids."""
+    def join_ids(batches):
+        own = _load(model)
+        empty = pa.array([], _IDS)
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1)
+                docs, ids = row.column("docs").flatten(), row.column("ids").flatten()
+                coded = _joined_ids(row.column("places")[0].as_py(), ids if len(ids) else empty)
+                decoded = own.decode(coded.to_pylist(), num_threads=1)
+                yield pa.RecordBatch.from_arrays([docs, coded, pa.array(decoded, pa.string())], schema=_SCHEMA)
 
-    def __init__(self, model: bytes, table_chunks: int = TABLE_CHUNKS):
-        import sentencepiece
+    return whole.select("docs", "places", "ids").mapInArrow(join_ids, "doc_id long, ids array<int>, decoded string")
 
-        self.model = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.table: dict[str, list[int]] = {}
-        self.table_chunks = table_chunks
-        self.splits = self._chunks_stand_alone()
-
-    def _chunks_stand_alone(self) -> bool:
-        """Whether no piece has a marker after another character, and the marks are plain:
-        one is put before a text, each space gives one and nothing else changes."""
-        pieces = (self.model.id_to_piece(i) for i in range(self.model.get_piece_size()))
-        plain = all(MARK not in p.lstrip(MARK) for p in pieces)
-        probe = "  a  b\n\t c "
-        return plain and self.model.normalize(probe) == MARK + probe.replace(" ", MARK)
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        if not self.splits:
-            return self.model.encode(texts, num_threads=1)
-        # A marker stands before every text but an empty one; a literal marker is a space.
-        parts = [_CHUNK.findall(" " + t.replace(MARK, " ")) if t else [] for t in texts]
-        if len(self.table) > self.table_chunks:
-            self.table.clear()
-        table = self.table
-        new = [c for c in dict.fromkeys(chain.from_iterable(parts)) if c not in table]
-        # The library adds the first marker itself.
-        table.update(zip(new, self.model.encode([c[1:] or "" for c in new], num_threads=1)))
-        for c in new:
-            if c == " ":
-                table[c] = [self.model.piece_to_id(MARK)]
-        return [list(chain.from_iterable(map(table.__getitem__, p))) for p in parts]
-
-    def decode(self, ids: list[list[int]]) -> list[str]:
-        return self.model.decode(ids, num_threads=1)
+
+def _text_by_text(narrow: DataFrame, model: bytes) -> DataFrame:
+    def code(batches):
+        own = _load(model)
+        for batch in slices(batches, "text"):
+            ids = own.encode(texts_of(batch).to_pylist(), num_threads=1)
+            decoded = own.decode(ids, num_threads=1)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(ids, _IDS), pa.array(decoded, pa.string())], schema=_SCHEMA
+            )
+
+    return narrow.mapInArrow(code, "doc_id long, ids array<int>, decoded string")
 
 
 def round_trip(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -74,18 +153,8 @@ def round_trip(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_col:
     Rows are independent: repeated rows, null ids and further columns change
     nothing. An empty table gives an empty result.
     """
-
-    def code(batches):
-        coder = ChunkEncoder(model)
-        for batch in slices(batches, "text"):
-            ids = coder.encode(texts_of(batch).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(ids, _SCHEMA.field("ids").type), pa.array(coder.decode(ids), pa.string())],
-                schema=_SCHEMA,
-            )
-
     narrow = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    return narrow.mapInArrow(code, "doc_id long, ids array<int>, decoded string")
+    return _through_table(narrow, model) if chunks_stand_alone(model) else _text_by_text(narrow, model)
 
 
 def encode_documents(docs: DataFrame, model: bytes, **columns) -> DataFrame:

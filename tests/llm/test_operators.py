@@ -203,9 +203,12 @@ def test_pieces_equal_the_library(make_docs):
         assert r.ids == own.encode(of[r.doc_id]) and r.decoded == own.decode(r.ids)
     coded = pieces.encode_documents(make_docs(rows), data)
     assert Counter(r.text for r in pieces.decode_documents(coded, data).collect()) == Counter(r.decoded for r in got)
-    small = pieces.ChunkEncoder(data, table_chunks=3)
-    assert small.encode(texts) + small.encode(texts) == own.encode(texts) * 2
-    assert pieces.round_trip(make_docs([]), data).count() == 0
+    spread = make_docs(rows).repartition(9)
+    for way in (pieces.round_trip(spread, data), pieces._text_by_text(spread.select("doc_id", "text"), data)):
+        assert Counter((r.doc_id, *r.ids) for r in way.collect()) == Counter((r.doc_id, *r.ids) for r in got)
+    empty = make_docs([(1, None), (2, "")])
+    assert [list(r.ids) for r in pieces.round_trip(empty, data).collect()] == [[], []]
+    assert pieces.chunks_stand_alone(data) and pieces.round_trip(make_docs([]), data).count() == 0
 
 
 # -- substrings -------------------------------------------------------------
