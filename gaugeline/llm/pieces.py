@@ -5,15 +5,18 @@ next one. Where no piece of the vocabulary holds a marker after another
 character, pieces cannot cross chunks, so a chunk is segmented alike wherever it
 stands:
 
-1. texts are cut into slices of a few MB; a slice is written as its distinct
-   chunks and, for every place, the number of its chunk, packed;
-2. every distinct chunk of the corpus is segmented once;
-3. a slice's chunks meet their ids in an equi-join on the chunk, and the ids
-   return to their slice, where places turn numbers into ids.
-
-Texts are not shuffled: a frequent chunk travels once for each slice that has
-it, and what returns to a slice is bounded by the slice. A vocabulary whose
-pieces do cross markers, or that rewrites texts, is encoded text by text.
+1. texts are cut into slices of ``SLICE_BYTES``; a slice is written as its
+   distinct chunks, in order of their hashes, and, for every place, the number
+   of its chunk, all packed;
+2. the chunks of all slices meet in ranges of the hash, where every distinct one
+   is segmented once;
+3. the ids return to their slice, where places turn numbers into ids.
+
+Texts are not shuffled. A chunk travels once for each slice that has it, however
+frequent it is; there is a hash range for every ``RANGE_SLICES`` slices, so that
+a range holds about as many chunks as that many slices at any size of the
+corpus. A vocabulary whose pieces do cross markers, or that rewrites texts, is
+encoded text by text.
 """
 
 from __future__ import annotations
@@ -27,16 +30,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.llm.common import hand_off, slices, texts_of
-from gaugeline.llm.packed import pack, small, unpack
+from gaugeline.llm.common import hand_off, hash_words, slices, texts_of
+from gaugeline.llm.packed import pack, small, unpack, word_arrays, words_from
 
+#: Text bytes of a slice, and slices to one hash range.
+SLICE_BYTES = 8 << 20
+RANGE_SLICES = 8
 MARK = "▁"
 _CHUNK = re.compile(r" +[^ ]*")
 _IDS = pa.list_(pa.int32())
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("ids", _IDS), ("decoded", pa.string())])
 _SLICES = pa.schema(
-    [("slice", pa.int64()), ("docs", pa.list_(pa.int64())), ("places", pa.binary()), ("chunks", pa.list_(pa.string()))]
+    [("slice", pa.int64()), ("docs", pa.list_(pa.int64())), ("places", pa.binary()), ("chunks", pa.binary())]
 )
+_PARTS = pa.schema([("range", pa.int64()), ("slice", pa.int64()), ("part", pa.binary())])
 
 
 def _load(model: bytes):
@@ -70,67 +77,103 @@ def _slice_rows(batches):
     """One row for every slice of texts: ids of its documents, its distinct chunks, and its places."""
     task, number = TaskContext.get(), 0
     first = (task.partitionId() if task else 0) << 32
-    for batch in slices(batches, "text"):
+    for batch in slices(batches, "text", SLICE_BYTES):
         parts = [chunks_of(t) for t in texts_of(batch).to_pylist()]
         coded = pa.array(chain.from_iterable(parts), pa.string()).dictionary_encode()
-        places = pack(small(np.array([len(p) for p in parts], np.int64)), small(coded.indices.to_numpy()))
+        order = np.argsort(hash_words(coded.dictionary), kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        places = pack(small(np.array([len(p) for p in parts], np.int64)), small(rank[coded.indices.to_numpy()]))
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([first + number], pa.int64()),
                 pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column("doc_id")),
                 pa.array([places], pa.binary()),
-                pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary),
+                pa.array([pack(*word_arrays(coded.dictionary.take(pa.array(order))))], pa.binary()),
             ],
             schema=_SLICES,
         )
         number += 1
 
 
-def _joined_ids(places: bytes, table: pa.ListArray) -> pa.ListArray:
-    """The ids of every text of a slice: its places looked up in the slice's ids by chunk number."""
-    lengths, codes = unpack(places)
-    codes = codes.astype(np.int64)
-    offsets, flat = table.offsets.to_numpy().astype(np.int64), table.values.to_numpy()
-    count = np.diff(offsets)[codes]
-    ends = np.concatenate([[0], np.cumsum(count)])
-    at = np.arange(ends[-1]) + np.repeat(offsets[:-1][codes] - ends[:-1], count)
-    texts = np.concatenate([[0], np.cumsum(lengths.astype(np.int64))])
-    return pa.ListArray.from_arrays(pa.array(ends[texts].astype(np.int32)), pa.array(flat[at], pa.int32()))
+def _strings(packed: bytes) -> pa.Array:
+    return words_from([unpack(packed)])[0]
 
 
-def _through_table(narrow: DataFrame, model: bytes) -> DataFrame:
-    cut = hand_off(
-        narrow.mapInArrow(_slice_rows, "slice long, docs array<long>, places binary, chunks array<string>")
-    )
-    found = cut.select("slice", F.posexplode("chunks").alias("number", "chunk"))
+def _range_rows(ranges: int):
+    """A slice's chunks cut into hash ranges."""
 
-    def segment_rows(batches):
-        own = _load(model)
+    def cut(batches):
         for batch in batches:
-            ids = segment(own, batch.column("chunk").to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column("chunk"), pa.array(ids, _IDS)], names=["chunk", "ids"])
+            for number, packed in zip(batch.column("slice").to_pylist(), batch.column("chunks").to_pylist()):
+                chunks = _strings(packed)
+                at = (hash_words(chunks) >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
+                found, begin = np.unique(at, return_index=True)
+                ends = [*begin[1:], len(at)]
+                parts = [
+                    pack(*word_arrays(pa.array(chunks.slice(i, j - i).to_pylist(), pa.string())))
+                    for i, j in zip(begin, ends)
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found.astype(np.int64)), pa.array([number] * len(found), pa.int64()), pa.array(parts, pa.binary())],
+                    schema=_PARTS,
+                )
+
+    return cut
+
+
+def _segment_range(model: bytes):
+    """All slices' chunks of one hash range: every distinct chunk is segmented once."""
+
+    def work(table: pa.Table) -> pa.Table:
+        chunks, codes, begins = words_from([unpack(p) for p in table.column("part").to_pylist()])
+        ids = pa.array(segment(_load(model), chunks.to_pylist()), _IDS)
+        parts = []
+        for i, j in zip(begins[:-1], begins[1:]):
+            mine = ids.take(pa.array(codes[i:j]))
+            parts.append(pack(small(np.diff(mine.offsets.to_numpy())), small(mine.flatten().to_numpy())))
+        return pa.table([table.column("range"), table.column("slice"), pa.array(parts, pa.binary())], schema=_PARTS)
+
+    return work
+
+
+def _joined_ids(places: bytes, parts: list[bytes]) -> pa.ListArray:
+    """The ids of every text of a slice: its places looked up in the ids of its chunks."""
+    lengths, codes = (x.astype(np.int64) for x in unpack(places))
+    tables = [unpack(p) for p in parts]
+    sizes = np.concatenate([np.zeros(0, np.int64), *(t[0].astype(np.int64) for t in tables)])
+    flat = np.concatenate([np.zeros(0, np.int32), *(t[1].astype(np.int32) for t in tables)])
+    starts = np.cumsum(sizes) - sizes
+    count = sizes[codes]
+    ends = np.concatenate([[0], np.cumsum(count)])
+    at = np.arange(ends[-1]) + np.repeat(starts[codes] - ends[:-1], count)
+    texts = np.concatenate([[0], np.cumsum(lengths)])
+    return pa.ListArray.from_arrays(pa.array(ends[texts].astype(np.int32)), pa.array(flat[at]))
+
 
-    table = found.select("chunk").distinct().mapInArrow(segment_rows, "chunk string, ids array<int>")
-    # Sort-merge joins at every size: neither the table nor the slices are bounded.
+def _through_table(narrow: DataFrame, model: bytes) -> DataFrame:
+    cut = hand_off(narrow.mapInArrow(_slice_rows, "slice long, docs array<long>, places binary, chunks binary"))
+    ranges = -(-cut.count() // RANGE_SLICES)
+    columns = "range long, slice long, part binary"
+    parts = cut.select("slice", "chunks").mapInArrow(_range_rows(max(1, ranges)), columns)
     back = (
-        found.join(table.hint("merge"), "chunk")
-        .groupBy("slice")
-        .agg(F.sort_array(F.collect_list(F.struct("number", "ids"))).getField("ids").alias("ids"))
-    )
+        parts.groupBy("range").applyInArrow(_segment_range(model), columns)
+        .groupBy("slice").agg(F.sort_array(F.collect_list(F.struct("range", "part"))).getField("part").alias("parts"))
+    )
+    # A sort-merge join at every size: neither side is bounded.
     whole = cut.select("slice", "docs", "places").join(back.hint("merge"), "slice", "left")
 
     def join_ids(batches):
         own = _load(model)
-        empty = pa.array([], _IDS)
         for batch in batches:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1)
-                docs, ids = row.column("docs").flatten(), row.column("ids").flatten()
-                coded = _joined_ids(row.column("places")[0].as_py(), ids if len(ids) else empty)
+                coded = _joined_ids(row.column("places")[0].as_py(), row.column("parts")[0].as_py() or [])
                 decoded = own.decode(coded.to_pylist(), num_threads=1)
+                docs = row.column("docs").flatten()
                 yield pa.RecordBatch.from_arrays([docs, coded, pa.array(decoded, pa.string())], schema=_SCHEMA)
 
-    return whole.select("docs", "places", "ids").mapInArrow(join_ids, "doc_id long, ids array<int>, decoded string")
+    return whole.select("docs", "places", "parts").mapInArrow(join_ids, "doc_id long, ids array<int>, decoded string")
 
 
 def _text_by_text(narrow: DataFrame, model: bytes) -> DataFrame:
