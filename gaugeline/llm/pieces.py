@@ -5,15 +5,20 @@ next one. Where no piece of the vocabulary holds a marker after another
 character, pieces cannot cross chunks, so a chunk is segmented alike wherever it
 stands:
 
-1. texts are cut into slices of ``SLICE_BYTES``; a slice is written as its
-   distinct chunks, in order of their hashes, and, for every place, the number
-   of its chunk, all packed;
+1. texts are cut into slices of ``SLICE_BYTES``; a slice is its distinct chunks,
+   numbered by ranges of their hash, and, for every place, the number of its
+   chunk, all packed;
 2. the chunks of all slices meet in ranges of the hash, where every distinct one
    is segmented once;
 3. the ids return to their slice, where places turn numbers into ids.
 
+Chunks and places are read off the texts in one pass each, as writing them down
+would cost more disk than reading twice. A slice is named after its place and
+its chunks, so should a source give its rows in other slices the second time,
+that is an error and no wrong result; write such a source first.
+
 Texts are not shuffled. A chunk travels once for each slice that has it, however
-frequent it is; there is a hash range for every ``RANGE_SLICES`` slices, so that
+frequent it is; there is a hash range for every ``RANGE_SLICES`` slices' bytes, so that
 a range holds about as many chunks as that many slices at any size of the
 corpus. A vocabulary whose pieces do cross markers, or that rewrites texts, is
 encoded text by text.
@@ -22,15 +27,17 @@ encoded text by text.
 from __future__ import annotations
 
 import re
+import zlib
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeline.llm.common import hand_off, hash_words, slices, texts_of
+from gaugeline.llm.common import hash_words, slices, texts_of
 from gaugeline.llm.packed import pack, small, unpack, word_arrays, words_from
 
 #: Text bytes of a slice, and slices to one hash range.
@@ -40,10 +47,8 @@ MARK = "▁"
 _CHUNK = re.compile(r" +[^ ]*")
 _IDS = pa.list_(pa.int32())
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("ids", _IDS), ("decoded", pa.string())])
-_SLICES = pa.schema(
-    [("slice", pa.int64()), ("docs", pa.list_(pa.int64())), ("places", pa.binary()), ("chunks", pa.binary())]
-)
-_PARTS = pa.schema([("range", pa.int64()), ("slice", pa.int64()), ("part", pa.binary())])
+_PLACES = pa.schema([("slice", pa.string()), ("docs", pa.list_(pa.int64())), ("places", pa.binary())])
+_PARTS = pa.schema([("range", pa.int64()), ("slice", pa.string()), ("part", pa.binary())])
 
 
 def _load(model: bytes):
@@ -73,53 +78,54 @@ def segment(own, chunks: list[str]) -> list[list[int]]:
     return [alone if c == " " else ids for c, ids in zip(chunks, own.encode([c[1:] for c in chunks], num_threads=1))]
 
 
-def _slice_rows(batches):
-    """One row for every slice of texts: ids of its documents, its distinct chunks, and its places."""
+def _cut(batches, ranges: int):
+    """For each slice: name, batch, number of chunks by text, codes, distinct chunks and the order
+    that numbers them (by hash range, then by bytes), and the ranges in that order."""
     task, number = TaskContext.get(), 0
-    first = (task.partitionId() if task else 0) << 32
+    partition = task.partitionId() if task else 0
     for batch in slices(batches, "text", SLICE_BYTES):
         parts = [chunks_of(t) for t in texts_of(batch).to_pylist()]
         coded = pa.array(chain.from_iterable(parts), pa.string()).dictionary_encode()
-        order = np.argsort(hash_words(coded.dictionary), kind="stable")
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        places = pack(small(np.array([len(p) for p in parts], np.int64)), small(rank[coded.indices.to_numpy()]))
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([first + number], pa.int64()),
-                pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column("doc_id")),
-                pa.array([places], pa.binary()),
-                pa.array([pack(*word_arrays(coded.dictionary.take(pa.array(order))))], pa.binary()),
-            ],
-            schema=_SLICES,
-        )
+        at = (hash_words(coded.dictionary) >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
+        by_bytes = pc.sort_indices(coded.dictionary).to_numpy()
+        order = by_bytes[np.argsort(at[by_bytes], kind="stable")]
+        chunks = coded.dictionary.take(pa.array(order))
+        name = f"{partition}-{number}-{zlib.crc32(word_arrays(chunks)[1])}"
+        yield name, batch, [len(p) for p in parts], coded.indices.to_numpy(), chunks, order, at[order]
         number += 1
 
 
-def _strings(packed: bytes) -> pa.Array:
-    return words_from([unpack(packed)])[0]
+def _place_rows(ranges: int):
+    """Of every slice: ids of its documents, chunks of each text, chunk number of each place."""
 
+    def rows(batches):
+        for name, batch, lengths, codes, chunks, order, _ in _cut(batches, ranges):
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            places = pack(small(np.array(lengths, np.int64)), small(rank[codes]))
+            docs = pa.ListArray.from_arrays(pa.array([0, batch.num_rows], pa.int32()), batch.column("doc_id"))
+            yield pa.RecordBatch.from_arrays([pa.array([name]), docs, pa.array([places], pa.binary())], schema=_PLACES)
 
-def _range_rows(ranges: int):
-    """A slice's chunks cut into hash ranges."""
+    return rows
 
-    def cut(batches):
-        for batch in batches:
-            for number, packed in zip(batch.column("slice").to_pylist(), batch.column("chunks").to_pylist()):
-                chunks = _strings(packed)
-                at = (hash_words(chunks) >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
-                found, begin = np.unique(at, return_index=True)
-                ends = [*begin[1:], len(at)]
-                parts = [
-                    pack(*word_arrays(pa.array(chunks.slice(i, j - i).to_pylist(), pa.string())))
-                    for i, j in zip(begin, ends)
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found.astype(np.int64)), pa.array([number] * len(found), pa.int64()), pa.array(parts, pa.binary())],
-                    schema=_PARTS,
-                )
-
-    return cut
+
+def _chunk_rows(ranges: int):
+    """Of every slice and hash range: the slice's distinct chunks in that range."""
+
+    def rows(batches):
+        for name, _, _, _, chunks, _, at in _cut(batches, ranges):
+            found, begin = np.unique(at, return_index=True)
+            lengths, data = word_arrays(chunks)
+            ends = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+            parts = [
+                pack(lengths[i:j], data[ends[i] : ends[j]]) for i, j in zip(begin, [*begin[1:], len(at)])
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found.astype(np.int64)), pa.array([name] * len(found), pa.string()), pa.array(parts, pa.binary())],
+                schema=_PARTS,
+            )
+
+    return rows
 
 
 def _segment_range(model: bytes):
@@ -143,6 +149,8 @@ def _joined_ids(places: bytes, parts: list[bytes]) -> pa.ListArray:
     tables = [unpack(p) for p in parts]
     sizes = np.concatenate([np.zeros(0, np.int64), *(t[0].astype(np.int64) for t in tables)])
     flat = np.concatenate([np.zeros(0, np.int32), *(t[1].astype(np.int32) for t in tables)])
+    if len(codes) and codes.max() >= len(sizes):
+        raise ValueError("the texts came in other slices when read again: write them to a table first")
     starts = np.cumsum(sizes) - sizes
     count = sizes[codes]
     ends = np.concatenate([[0], np.cumsum(count)])
@@ -152,16 +160,17 @@ def _joined_ids(places: bytes, parts: list[bytes]) -> pa.ListArray:
 
 
 def _through_table(narrow: DataFrame, model: bytes) -> DataFrame:
-    cut = hand_off(narrow.mapInArrow(_slice_rows, "slice long, docs array<long>, places binary, chunks binary"))
-    ranges = -(-cut.count() // RANGE_SLICES)
-    columns = "range long, slice long, part binary"
-    parts = cut.select("slice", "chunks").mapInArrow(_range_rows(max(1, ranges)), columns)
+    size = narrow.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    ranges = size // (SLICE_BYTES * RANGE_SLICES) + 1
+    columns = "range long, slice string, part binary"
+    parts = narrow.mapInArrow(_chunk_rows(ranges), columns)
     back = (
         parts.groupBy("range").applyInArrow(_segment_range(model), columns)
         .groupBy("slice").agg(F.sort_array(F.collect_list(F.struct("range", "part"))).getField("part").alias("parts"))
     )
     # A sort-merge join at every size: neither side is bounded.
-    whole = cut.select("slice", "docs", "places").join(back.hint("merge"), "slice", "left")
+    places = narrow.mapInArrow(_place_rows(ranges), "slice string, docs array<long>, places binary")
+    whole = places.join(back.hint("merge"), "slice", "left")
 
     def join_ids(batches):
         own = _load(model)
