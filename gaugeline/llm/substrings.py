@@ -12,11 +12,17 @@ decided there and then), so a text that a third of all documents share reaches
 its buckets once per slice. Minimisers are counted first, over all documents;
 the most frequent ones (at most ``MAX_FREQUENT``, a bounded broadcast) come last
 in the order, so that the neighbourhoods of a passage found everywhere spread
-over many buckets. The number of buckets follows the amount of text.
+over many buckets. What keeps a frequent minimiser meets in two steps: first in
+salted groups, each of which lets the first of equal super-k-mers through, then
+in the bucket. With as many salts as the root of the number of slices, neither
+step holds a passage once per slice. The number of buckets follows the amount of
+text.
 """
 
 from __future__ import annotations
 
+from math import isqrt
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -32,7 +38,11 @@ SEED = 5
 BUCKET_WORDS = 1_200_000
 #: Text bytes that are packed together for the buckets.
 PACK_BYTES = 8 << 20
-MAX_FREQUENT = 1 << 16
+#: Bytes of text that a word comes to, for the number of slices.
+WORD_BYTES = 8
+#: Frequent minimisers are those found in more than this many runs, and at most so many of them.
+MIN_FREQUENT = 200
+MAX_FREQUENT = 1 << 20
 _P = "__spans_"
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 _BACK = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -164,7 +174,45 @@ def _order(doc_id: Column) -> Column:
 
 
 _SPANS = pa.schema([("doc", pa.int64()), ("key", pa.int64()), ("begin", pa.int64()), ("end", pa.int64())])
-_PIECES = pa.schema([("bucket", pa.int64()), ("kind", pa.int32()), ("data", pa.binary())])
+_PIECES = pa.schema([("route", pa.int64()), ("bucket", pa.int64()), ("kind", pa.int32()), ("data", pa.binary())])
+_MET = pa.schema([*_SPANS, ("bucket", pa.int64()), ("data", pa.binary()), ("kind", pa.int32())])
+#: Kinds of pieces: super-k-mers, spans decided within a slice, super-k-mers of frequent minimisers.
+_RUNS, _DECIDED, _FREQUENT = 0, 1, 2
+
+
+class _Runs:
+    """The super-k-mers of several packed pieces under one dictionary, by document."""
+
+    def __init__(self, pieces: list[bytes]):
+        parts = [unpack(x) for x in pieces]
+        self.vocab, code, begins = words_from([(p[0], p[1]) for p in parts])
+        self.codes = np.concatenate([code[b + p[2].astype(np.int64)] for p, b in zip(parts, begins)])
+        length, order, keys, at = (np.concatenate([p[i] for p in parts]).astype(np.int64) for i in (3, 4, 5, 6))
+        by = np.argsort(order, kind="stable")
+        self.start = (np.cumsum(length) - length)[by]
+        self.length, self.order, self.keys, self.at = length[by], order[by], keys[by], at[by]
+
+    def repeats(self, window: int) -> list[np.ndarray]:
+        """Columns of ``_SPANS``: windows that also start in a run of an earlier document."""
+        first, run = repeated_windows(self.codes, self.start, self.length, self.order, window)
+        run, lo, hi = _joined(first, run, window)
+        shift = self.at[run] - self.start[run]
+        return [self.order[run], self.keys[run], lo + shift, hi + shift]
+
+    def thinned(self) -> tuple[list[np.ndarray], bytes]:
+        """Spans of runs that an earlier document has whole, and the other runs packed again."""
+        leader = first_of_equal(self.codes, self.start, self.start + self.length, mix(self.codes.astype(np.uint64) + np.uint64(1)), self.order)
+        gone = self.order > self.order[leader]
+        spans = [self.order[gone], self.keys[gone], self.at[gone], (self.at + self.length)[gone]]
+        left = ~gone
+        words, local = packed_words(self.vocab, self.codes[_ragged(self.start[left], self.length[left])])
+        return spans, pack(*words, local, small(self.length[left]), self.order[left], self.keys[left], small(self.at[left]))
+
+
+def packed_words(vocab: pa.Array, codes: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """The words that ``codes`` use, for ``pack``, and the codes within these."""
+    used, local = np.unique(codes, return_inverse=True)
+    return word_arrays(vocab.take(pa.array(used)).cast(pa.string())), small(local)
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, seed: int = SEED) -> DataFrame:
@@ -190,9 +238,10 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     runs = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     per_run = (window - seed + 2) / 2  # windows of a run on average
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(runs * per_run / BUCKET_WORDS) + 1)
-    limit = max(200, runs // (8 * buckets), runs // MAX_FREQUENT)
+    limit = max(MIN_FREQUENT, runs // (8 * buckets), runs // MAX_FREQUENT)
     found = counted.where(F.col("n") > limit).select("value").toArrow().column("value").to_numpy()  # at most MAX_FREQUENT
     frequent = np.sort(found.view(np.uint64))
+    salts = isqrt(int(runs * per_run) * WORD_BYTES // PACK_BYTES) + 1
 
     def cut(batches):
         for batch in slices(batches, limit=PACK_BYTES):
@@ -206,49 +255,61 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 to = (mix(keys[d].view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
                 columns = [order[done], keys[d], start[done] - begin[d], stop[done] - begin[d]]
                 for b in np.unique(to):
-                    out.append((b, 1, pack(*(c[to == b] for c in columns))))
+                    out.append((b, b, _DECIDED, pack(*(c[to == b] for c in columns))))
+            salt = int(mix(keys[:1].view(np.uint64))[0] % np.uint64(salts))
             own = np.flatnonzero(travels)
+            hot = least[own] >= _LAST
             to = (mix(least[own]) % np.uint64(buckets)).astype(np.int64)
-            own, to = own[np.argsort(to, kind="stable")], np.sort(to)
-            edges = np.concatenate([[0], np.flatnonzero(to[1:] != to[:-1]) + 1, [len(to)]])
+            by = np.lexsort((to, hot))
+            own, to, hot = own[by], to[by], hot[by]
+            edges = np.concatenate([[0], np.flatnonzero((to[1:] != to[:-1]) | (hot[1:] != hot[:-1])) + 1, [len(to)]])
             for lo, hi in zip(edges[:-1], edges[1:]):
                 if lo == hi:
                     continue
-                r = own[lo:hi]
+                r, bucket = own[lo:hi], int(to[lo])
                 length = stop[r] - start[r]
-                used, local = np.unique(codes[_ragged(start[r], length)], return_inverse=True)
-                words = word_arrays(vocab.take(pa.array(used)))
-                data = pack(*words, small(local), small(length), order[r], keys[doc[r]], small(start[r] - begin[doc[r]]))
-                out.append((to[lo], 0, data))
+                words, local = packed_words(vocab, codes[_ragged(start[r], length)])
+                data = pack(*words, local, small(length), order[r], keys[doc[r]], small(start[r] - begin[doc[r]]))
+                out.append((buckets + bucket * salts + salt, bucket, _FREQUENT, data) if hot[lo] else (bucket, bucket, _RUNS, data))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _PIECES)], schema=_PIECES)
 
-    def sort(table):
-        kinds = table.column("kind").to_pylist()
-        parts = [unpack(x) for x in table.column("data").to_pylist()]
-        made = [[c.astype(np.int64) for c in p] for p, k in zip(parts, kinds) if k]
-        parts = [p for p, k in zip(parts, kinds) if not k]
-        if parts:
-            _, code, begins = words_from([(p[0], p[1]) for p in parts])
-            codes = np.concatenate([code[b + p[2].astype(np.int64)] for p, b in zip(parts, begins)])
-            length, order, keys, at = (np.concatenate([p[i] for p in parts]).astype(np.int64) for i in (3, 4, 5, 6))
-            start = np.cumsum(length) - length
-            by = np.argsort(order, kind="stable")
-            length, order, keys, at, start = length[by], order[by], keys[by], at[by], start[by]
-            first, run = repeated_windows(codes, start, length, order, window)
-            run, lo, hi = _joined(first, run, window)
-            shift = at[run] - start[run]
-            made.append([order[run], keys[run], lo + shift, hi + shift])
-        columns = [np.concatenate(c) for c in zip(*made)] if made else [np.zeros(0, np.int64)] * 4
+    def meet(table):
+        """One route: the spans of a bucket's runs, or of frequent runs the spans found so far and what is left."""
+        kinds, data = table.column("kind").to_numpy(), table.column("data").to_pylist()
+        of = lambda kind: [data[i] for i in np.flatnonzero(kinds == kind)]
+        made = [[c.astype(np.int64) for c in unpack(x)] for x in of(_DECIDED)]
+        left = None
+        if runs := of(_RUNS):
+            made.append(_Runs(runs).repeats(window))
+        if runs := of(_FREQUENT):
+            spans, left = _Runs(runs).thinned()
+            made.append(spans)
+        columns = [np.concatenate(c) for c in zip(*made)]
+        n = len(columns[0])
+        found = [*(pa.array(c) for c in columns), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(np.full(n, _DECIDED, np.int32))]
+        met = pa.Table.from_arrays(found, schema=_MET)
+        if left is None:
+            return met
+        row = [*(pa.nulls(1, pa.int64()) for _ in _SPANS), table.column("bucket").combine_chunks()[:1], pa.array([left], pa.binary()), pa.array([_FREQUENT], pa.int32())]
+        return pa.concat_tables([met, pa.Table.from_arrays(row, schema=_MET)])
+
+    def last(table):
+        columns = _Runs(table.column("data").to_pylist()).repeats(window)
         return pa.Table.from_arrays([pa.array(c) for c in columns], schema=_SPANS)
 
-    pieces = narrow.mapInArrow(cut, "bucket long, kind int, data binary")
-    spans = hand_off(pieces.groupBy("bucket").applyInArrow(sort, "doc long, key long, begin long, end long"))
+    pieces = narrow.mapInArrow(cut, "route long, bucket long, kind int, data binary")
+    spans = "doc long, key long, begin long, end long"
+    met = hand_off(pieces.groupBy("route").applyInArrow(meet, spans + ", bucket long, data binary, kind int"), "kind")
+    rest = met.where(F.col("kind") == _FREQUENT).select("bucket", "data").groupBy("bucket").applyInArrow(last, spans)
+    decided = met.where(F.col("kind") == _DECIDED).select("doc", "key", "begin", "end")
+    spans = decided.union(hand_off(rest))
     return spans.groupBy("doc", "key").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
 
 
 def remove_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, joined: bool = False, prefix: str = ""
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, joined: bool = False, prefix: str = "",
+    seed: int = SEED,
 ) -> DataFrame:
     """``docs`` with repeated words cut out of ``text``, and ``n_words``, ``n_removed`` (after ``prefix``) beside it.
 
@@ -261,7 +322,7 @@ def remove_repeats(
     """
     counts = [prefix + "n_words", prefix + "n_removed"]
     rest = docs.drop(*counts)
-    spans = repeated_spans(docs, id_col, text_col, window)
+    spans = repeated_spans(docs, id_col, text_col, window, seed)
     spans = spans.select(F.col("doc").alias(_P + "doc"), F.col("key").alias(_P + "key"), F.col("spans").alias(_P + "at"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     same = (_order(F.col(id_col)) == F.col(_P + "doc")) & (F.xxhash64(text) == F.col(_P + "key"))

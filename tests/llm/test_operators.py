@@ -214,7 +214,11 @@ def test_pieces_equal_the_library(make_docs):
 # -- substrings -------------------------------------------------------------
 
 
-def test_substrings_same_as_brute_force(make_docs):
+@pytest.mark.parametrize("least, run", [(substrings.MIN_FREQUENT, substrings.SEED), (1, 2)])
+def test_substrings_same_as_brute_force(make_docs, monkeypatch, least, run):
+    """With ``least`` 1 and short seeds many minimisers are frequent and meet in salted groups first."""
+    monkeypatch.setattr(substrings, "MIN_FREQUENT", least)
+    monkeypatch.setattr(substrings, "WORD_BYTES", 1 << 16)
     for seed, window in ((1, 6), (2, 9)):
         draw = random.Random(seed)
         base = [draw.choices("abcdefg", k=draw.randint(0, 40)) for _ in range(60)]
@@ -231,7 +235,7 @@ def test_substrings_same_as_brute_force(make_docs):
                 if first[tuple(ws[k : k + window])] < i:
                     gone |= set(range(k, k + window))
             want.append((i, len(ws), len(gone), b" ".join(w for k, w in enumerate(ws) if k not in gone).decode()))
-        got = substrings.remove_repeats(make_docs(rows, 4), window=window, joined=True)
+        got = substrings.remove_repeats(make_docs(rows, 4), window=window, joined=True, seed=run)
         assert sorted((r.doc_id, r.n_words, r.n_removed, r.text) for r in got.collect()) == sorted(want)
 
 
