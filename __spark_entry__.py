@@ -442,6 +442,18 @@ def tail_drop(spark, sf_dir):
     return kept.select("event_type", "window_id", "n")
 
 
+@query(
+    "tail_left_out",
+    f"""WITH {_CELLS}
+    SELECT event_type, sum(n)::BIGINT AS n_rows, sum(CASE WHEN n < 60 THEN n ELSE 0 END)::BIGINT AS n_left_out
+    FROM (SELECT event_type, window_id, count(*) AS n FROM cells GROUP BY event_type, window_id)
+    GROUP BY event_type""",
+)
+def tail_left_out(spark, sf_dir):
+    """Rows without a prediction where short windows are dropped."""
+    return windows.left_out(_event_windows(spark, sf_dir), SIZE, SERIES)
+
+
 _USER_TAIL_SQL = f"""WITH {_FIT.replace('event_type', 'user_id')}
     SELECT f.user_id, f.window_id, f.n, round(f.center, 6) AS center,
            round(coalesce(p.score, s.score) * f.scale + f.center, 6) AS prediction

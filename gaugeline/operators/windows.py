@@ -181,6 +181,14 @@ def apply_tail(
     )
 
 
+def left_out(windows: DataFrame, size: int, series: str | Iterable[str] = ()) -> DataFrame:
+    """Per series: ``n_rows`` in windows, ``n_left_out`` of them in the short window that ``drop`` leaves out."""
+    short = F.when(F.col("n") < size, F.col("n")).otherwise(F.lit(0))
+    return windows.groupBy(*cols(name_list(series))).agg(
+        F.sum("n").alias("n_rows"), F.sum(short).cast("bigint").alias("n_left_out")
+    )
+
+
 def window_rows(windows: DataFrame, inputs: str | Iterable[str]) -> DataFrame:
     """Window arrays back to one row per (window, pos)."""
     inputs = name_list(inputs)

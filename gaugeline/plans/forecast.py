@@ -27,7 +27,11 @@ def scaled_windows(
     tail: str = "drop",
     **options,
 ) -> DataFrame:
-    """Windows with scaler state and scaled arrays, after the tail policy."""
+    """Windows with scaler state and scaled arrays, after the tail policy.
+
+    With ``reuse_previous`` the unscaled arrays are left out: no step after the
+    scaling reads them, and the join of short windows would carry them along.
+    """
     inputs = name_list(inputs)
     windows = window_vectors(df, order, inputs, size, series, time, **options)
     return scale_windows(windows, inputs, size, series, tail)
@@ -45,7 +49,8 @@ def scale_windows(
     scaled = robust_transform(robust_fit(windows, inputs), inputs)
     if tail == "drop":
         return scaled
-    return apply_tail(scaled, size, tail, series, carried=[f"{n}_scaled" for n in inputs])
+    slim = scaled.drop(*inputs)
+    return apply_tail(slim, size, tail, series, carried=[f"{n}_scaled" for n in inputs])
 
 
 def score_windows(

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gaugeline.operators.indexing import index_rows
-from gaugeline.operators.windows import apply_tail, window_vectors
+from gaugeline.operators.windows import apply_tail, left_out, window_vectors
 from gaugeline.plans.forecast import predict_windows, scaled_windows
 
 START = datetime(2024, 1, 1)
@@ -117,6 +117,9 @@ def test_tail_policies(spark):
     df = frame(spark, rows_of("a", 20) + rows_of("b", 18) + rows_of("c", 4))
     cut = window_vectors(df, ["ts", "id"], "v", 6, "s")
     assert apply_tail(cut, 6, "drop", "s").count() == 3 + 3
+    assert {r.s: (r.n_rows, r.n_left_out) for r in left_out(cut, 6, "s").collect()} == {
+        "a": (20, 2), "b": (18, 0), "c": (4, 4)
+    }
     scaled = scaled_windows(df, ["ts", "id"], "v", 6, "s", tail="reuse_previous")
     got = {(r.s, r.window_id): r for r in scaled.collect()}
     assert set(got) == {("a", i) for i in range(4)} | {("b", i) for i in range(3)}
