@@ -239,6 +239,26 @@ def test_substrings_same_as_brute_force(make_docs, monkeypatch, least, run):
         assert sorted((r.doc_id, r.n_words, r.n_removed, r.text) for r in got.collect()) == sorted(want)
 
 
+def test_frequent_runs_are_thinned():
+    """Of equal runs in a salted group the one of the smallest document goes on; the others are decided."""
+    small = substrings.small
+
+    def piece(runs):  # (document, first word, words)
+        vocab, length = pa.array(sorted({w for _, _, ws in runs for w in ws})), np.array([len(ws) for _, _, ws in runs])
+        codes = np.array([vocab.to_pylist().index(w) for _, _, ws in runs for w in ws])
+        found, local = substrings.packed_words(vocab, codes)
+        doc, at = np.array([d for d, _, _ in runs]), np.array([a for _, a, _ in runs])
+        return substrings.pack(*found, local, small(length), doc, doc * 10, small(at))
+
+    runs = substrings._Runs([piece([(7, 2, "abc"), (3, 0, "abcd")]), piece([(5, 4, "abc"), (5, 9, "abc"), (9, 1, "bcd")])])
+    (doc, key, begin, end), left = runs.thinned()
+    assert [tuple(map(int, x)) for x in zip(doc, key, begin, end)] == [(7, 70, 2, 5)]
+    again = substrings._Runs([left])
+    assert sorted(zip(again.order.tolist(), again.at.tolist(), again.length.tolist())) == [(3, 0, 4), (5, 4, 3), (5, 9, 3), (9, 1, 3)]
+    spelled = ["".join(again.vocab.take(pa.array(again.codes[a : a + n])).to_pylist()) for a, n in zip(again.start, again.length)]
+    assert sorted(spelled) == ["abc", "abc", "abcd", "bcd"]
+
+
 def test_substrings_edges(make_docs):
     passage = " ".join(f"p{i}" for i in range(60))
     rows = [*ODD, (20, "  keep  this\n" + passage + "  and this "), (21, "other " + passage), (None, passage), (22, passage), (22, passage)]
