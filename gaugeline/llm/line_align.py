@@ -2,31 +2,42 @@
 
 1. A document is its sequence of line hashes. Documents with the same sequence
    are one class; only its first document takes part in what follows.
-2. Of each line found in two or more classes, the first document that has it is
-   the owner. A document is paired with the owners of its lines, never with all
-   documents that share a line: pairs are at most as many as lines.
-3. A pair is kept if the lines it shares are rare together: the sum of
-   ``ln(classes / classes with the line)`` is at least ``EVIDENCE``. Two
-   documents that share only boilerplate are no pair; a large group of near
-   copies is, as it shares many lines.
-4. Each pair is aligned with patience diff, and the aligned blocks of common
+2. Two classes are a pair if the lines they share are rare together: the sum of
+   ``ln(classes / classes with the line)`` over all of them is at least
+   ``EVIDENCE``. Two documents that share only boilerplate are no pair; a large
+   group of near copies is, as it shares many lines.
+3. Each pair is aligned with patience diff, and the aligned blocks of common
    lines with at least ``BLOCK_WORDS`` words are deleted from the later document.
-
-The owner of a line keeps it, unless it lost it to a still earlier document: so
-the first copy of everything stays. Hot lines meet their owner in a plain
-equi-join on the line, which adaptive execution splits; nothing is grouped by
-line but counts and minima.
+   A document loses what any earlier one takes from it.
+
+Pairs that cannot take anything are left out, by two exact bounds:
+
+* Ordered by rarity, both members of a pair have a shared line in their prefix:
+  the lines before the rest sums to less than ``EVIDENCE``. Boilerplate alone
+  is in no prefix.
+* A line is open while it is not deleted and stands in a run of lines of
+  ``BLOCK_WORDS`` words that an earlier document has too. A document without
+  open lines is done.
+
+The documents with a line in their prefix are numbered in order. Documents that
+are not done meet the holders of their prefix lines in rounds, the first of them
+and then twice as many each time, until all are done or have met all earlier
+holders. A near copy is done once it has met the few that hold its variants, so
+large groups do not make all their pairs. The first copy of everything stays.
+Hot lines meet in plain equi-joins, which adaptive execution splits, and are
+numbered in ranges of documents.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
+import math
+from bisect import bisect_left, bisect_right
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +47,9 @@ from gaugeline.llm.common import NO_ID, hand_off, hash_words, mix, slices, sum_b
 EVIDENCE = 4.0
 #: Words that a deleted block has at least.
 BLOCK_WORDS = 8
+#: Prefix lines in a range of documents, on average, and ranges at most.
+RANGE_ROWS = 20_000
+MAX_RANGES = 1_000
 _P = "__lines_"
 
 
@@ -106,6 +120,36 @@ def lines_to_delete(later: list[int], words: list[int], earlier: list[int], leas
     return [i for block in blocks if sum(words[i] for i in block) >= least for i in block]
 
 
+def least_runs(words: list[int], least: int) -> set[tuple[int, int]]:
+    """Ranges of lines: the shortest from each line on, and up to each line, with ``least`` words.
+
+    Whatever block of ``least`` words a line stands in, one of these ranges lies in
+    the block and has the line.
+    """
+    ends = [0]
+    for n in words:
+        ends.append(ends[-1] + n)
+    out = set()
+    for i in range(len(words)):
+        stop = bisect_left(ends, ends[i] + least, i + 1)
+        if stop < len(ends):
+            out.add((i, stop))
+        start = bisect_right(ends, ends[i + 1] - least, 0, i + 1) - 1
+        if start >= 0:
+            out.add((start, i + 1))
+    return out
+
+
+def prefix_lines(lines: list[int], held: list[int], classes: int, evidence: float) -> list[int]:
+    """The rarest of the shared ``lines`` (in ``held`` classes each); the others' evidence is too small."""
+    left, out = 0.0, []
+    for h, x in sorted(zip(held, lines), reverse=True):
+        left += math.log(classes / h)
+        if left >= evidence - 1e-6:
+            out.append(x)
+    return out
+
+
 # -- documents as lines -----------------------------------------------------
 
 
@@ -153,41 +197,127 @@ def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return narrow.mapInArrow(split, "doc long, key long, seq long, lines array<long>, words array<int>")
 
 
+def numbered(posts: DataFrame) -> DataFrame:
+    """``line, doc, key, at``: each document's number, from 1, among those with the line.
+
+    Numbers are counted in ranges of documents and summed over ranges, so no task
+    numbers all documents of a frequent line.
+    """
+    ranges = min(MAX_RANGES, posts.count() // RANGE_ROWS + 1)
+    place = F.struct("doc", "key")
+    cuts = posts.select("doc", "key").distinct().sample(False, 0.1, 7) if ranges > 1 else None
+    cuts = cuts.agg(F.percentile_approx("doc", [i / ranges for i in range(1, ranges)], 10_000)).first()[0] if cuts is not None else None
+    of = F.lit(0)
+    if cuts:
+        of = F.size(F.filter(F.array(*(F.lit(c) for c in sorted(set(cuts)))), lambda c: c <= F.col("doc")))
+        # Documents without an id share one order key: their hash tells their range.
+        of = of * 64 + F.when(F.col("doc") == NO_ID, F.shiftright("key", 58) + 32).otherwise(0)
+    posts = posts.withColumn("range", of)
+    inner = posts.withColumn("within", F.row_number().over(Window.partitionBy("line", "range").orderBy(place)))
+    sizes = posts.groupBy("line", "range").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("line").orderBy("range")) - F.col("n")
+    sizes = sizes.select(F.col("line").alias("l"), F.col("range").alias("r"), before.alias("before"))
+    both = inner.join(sizes, (F.col("line") == F.col("l")) & (F.col("range") == F.col("r")))
+    return both.select("line", "doc", "key", (F.col("before") + F.col("within")).alias("at"))
+
+
+def aligned_deletions(firsts: DataFrame, classes: int, evidence: float, block_words: int) -> DataFrame:
+    """``doc, key, gone``: positions of lines, in one row or more of each class that loses any."""
+    spark = firsts.sparkSession
+    classes, least = max(classes, 2), max(block_words, 1)
+    ids = ["doc", "key"]
+    held = firsts.select(*ids, F.explode(F.array_distinct("lines")).alias("line"))
+    counts = held.groupBy("line").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > 1)
+    common = (
+        held.join(counts, "line").groupBy(*ids)
+        .agg(F.collect_list(F.struct("line", "df")).alias("common"), F.sum(F.log(F.lit(float(classes)) / F.col("df"))).alias("most"))
+        .where(F.col("most") >= evidence - 1e-6)
+    )
+    docs = firsts.join(common, ids).select(*ids, "lines", "words", F.col("common.line").alias("shared"), F.col("common.df").alias("held"))
+    docs = hand_off(docs)
+
+    def to_runs(batches):
+        for batch in batches:
+            doc, key, runs, start, stop = [], [], [], [], []
+            for d, k, lines, words in zip(*(batch.column(c).to_pylist() for c in ("doc", "key", "lines", "words"))):
+                for i, j in least_runs(words, least):
+                    doc.append(d), key.append(k), start.append(i), stop.append(j)
+                    runs.append(hash(tuple(lines[i:j])))  # of integers: the same in every process
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(doc, pa.int64()), pa.array(key, pa.int64()), pa.array(runs, pa.int64()), pa.array(start, pa.int32()), pa.array(stop, pa.int32())],
+                names=["doc", "key", "run", "start", "stop"],
+            )
+
+    me = F.struct(*ids)
+    runs = hand_off(docs.select(*ids, "lines", "words").mapInArrow(to_runs, "doc long, key long, run long, start int, stop int"))
+    earliest = runs.groupBy("run").agg(F.min(me).alias("first"), F.max(me).alias("last")).where(F.col("first") < F.col("last"))
+    spans = F.flatten(F.collect_list(F.sequence(F.col("start"), F.col("stop") - 1)))
+    open_lines = hand_off(
+        runs.join(earliest, "run").where(F.col("first") < me).groupBy(*ids).agg(F.array_sort(F.array_distinct(spans)).alias("open"))
+    )
+
+    def to_prefix(batches):
+        for batch in batches:
+            doc, key, line = [], [], []
+            for d, k, lines, df in zip(*(batch.column(c).to_pylist() for c in ("doc", "key", "shared", "held"))):
+                for x in prefix_lines(lines, df, classes, evidence):
+                    doc.append(d), key.append(k), line.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (line, doc, key)], names=["line", "doc", "key"])
+
+    posts = hand_off(docs.select(*ids, "shared", "held").mapInArrow(to_prefix, "line long, doc long, key long"))
+    holders = hand_off(numbered(posts))
+
+    def align(batches):
+        for batch in batches:
+            doc, key, found = [], [], []
+            names = ("doc", "key", "lines", "words", "shared", "held", "open", "other")
+            for d, k, lines, words, shared, df, still, other in zip(*(batch.column(c).to_pylist() for c in names)):
+                there = set(other)
+                if not any(lines[i] in there for i in still):
+                    continue
+                if math.fsum(math.log(classes / h) for x, h in zip(shared, df) if x in there) < evidence:
+                    continue
+                if gone := lines_to_delete(lines, words, other, block_words):
+                    doc.append(d), key.append(k), found.append(gone)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(doc, pa.int64()), pa.array(key, pa.int64()), pa.array(found, pa.list_(pa.int32()))], names=["doc", "key", "gone"]
+            )
+
+    lost, low = [], 1
+    met = holders.select(F.col("line").alias("l"), F.col("at").alias("place"), F.col("doc").alias("other_doc"), F.col("key").alias("other_key"))
+    theirs = docs.select(F.col("doc").alias("other_doc"), F.col("key").alias("other_key"), F.col("lines").alias("other"))
+    while True:
+        waiting = holders.where(F.col("at") > low).join(open_lines.select(*ids), ids)
+        places = F.sequence(F.lit(low).cast("long"), F.least(F.lit(2 * low - 1).cast("long"), F.col("at") - 1))
+        pairs = waiting.select(*ids, "line", F.explode(places).alias("place"))
+        pairs = hand_off(
+            pairs.join(met, (F.col("line") == F.col("l")) & (pairs["place"] == met["place"])).select(*ids, "other_doc", "other_key").distinct()
+        )
+        if pairs.isEmpty():
+            break
+        both = pairs.join(docs.join(open_lines, ids), ids).join(theirs, ["other_doc", "other_key"])
+        found = both.select(*ids, "lines", "words", "shared", "held", "open", "other").mapInArrow(align, "doc long, key long, gone array<int>")
+        found = hand_off(found.groupBy(*ids).agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone")))
+        lost.append(found)
+        open_lines = open_lines.join(found, ids, "left")
+        still = F.array_except("open", F.coalesce("gone", F.array().cast("array<int>")))
+        open_lines = hand_off(open_lines.select(*ids, still.alias("open")).where(F.size("open") > 0))
+        low *= 2
+    out = spark.createDataFrame([], "doc long, key long, gone array<int>") if not lost else lost[0]
+    for more in lost[1:]:
+        out = out.union(more)
+    return out
+
+
 def deletions(table: DataFrame, evidence: float = EVIDENCE, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``doc, key, gone``: positions of the lines that each document loses."""
-    spark = table.sparkSession
     me = F.struct("doc", "key")
     classes = hand_off(table.groupBy("seq").agg(F.min(me).alias("first")))
     firsts = hand_off(
         table.join(classes.select(F.col("seq").alias("s"), "first"), (F.col("seq") == F.col("s")) & (me == F.col("first")))
         .dropDuplicates(["seq"]).select("doc", "key", "seq", "lines", "words")
     )
-    n = firsts.count()
-    held = firsts.select(me.alias("me"), F.explode(F.array_distinct("lines")).alias("line"))
-    shared = (
-        held.groupBy("line").agg(F.min("me").alias("owner"), F.count(F.lit(1)).alias("df")).where(F.col("df") > 1)
-        .select(F.col("line").alias("l"), "owner", F.log(F.lit(float(max(n, 2))) / F.col("df")).alias("rarity"))
-    )
-    pairs = (
-        held.join(shared, F.col("line") == F.col("l"))
-        .where(F.col("owner") < F.col("me"))
-        .groupBy("me", "owner")
-        .agg(F.sum("rarity").alias("evidence"))
-        .where(F.col("evidence") >= evidence)
-        .select("me", "owner")
-    )
-    side = lambda p: firsts.select(me.alias(p), F.col("lines").alias(f"{p}_lines"), F.col("words").alias(f"{p}_words"))
-    both = pairs.join(side("me"), "me").join(side("owner").drop("owner_words"), "owner")
-    schema = T.StructType([T.StructField("doc", T.LongType()), T.StructField("key", T.LongType()), T.StructField("gone", T.ArrayType(T.IntegerType()))])
-    own = pa.schema([("doc", pa.int64()), ("key", pa.int64()), ("gone", pa.list_(pa.int32()))])
-
-    def align(batches):
-        for batch in batches:
-            a, w, b = (batch.column(c).to_pylist() for c in ("me_lines", "me_words", "owner_lines"))
-            gone = [lines_to_delete(*x, block_words) for x in zip(a, w, b)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("key"), pa.array(gone, own.field(2).type)], schema=own)
-
-    found = both.select("me.doc", "me.key", "me_lines", "me_words", "owner_lines").mapInArrow(align, schema)
+    found = aligned_deletions(firsts, firsts.count(), evidence, block_words)
     lost = found.groupBy("doc", "key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("gone")))).alias("gone"))
     # A later document with the same sequence loses all of it, whatever its lines.
     copies = (
