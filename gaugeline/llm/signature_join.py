@@ -20,9 +20,11 @@ shingles is at least ``LEAST`` / 100. The join is exact:
 5. Connected components of these links.
 
 A star with more than ``CHUNK`` members is dealt to chunks, each with the
-star's centre. Members found unconnected to the centre then visit all other
-chunks, so no link between members of different chunks is lost. Equal sets in a
-slice are one document up to here. Text is never grouped.
+star's centre. Members found unconnected to the centre are then compared with
+all other chunks, one pair of chunks at a time, so no link between members of
+different chunks is lost and no comparison holds more than two chunks. Bitmaps
+are compared first; only members of possible pairs fetch their texts. Equal sets
+in a slice are one document up to here. Text is never grouped.
 """
 
 from __future__ import annotations
@@ -308,8 +310,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 [pa.array(np.full(n, 1, np.int32)), pa.array(ids[copies[0]]), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(ids[copies[1]]), pa.nulls(n, pa.binary())],
                 schema=_FIRST,
             )
-            take = prefix_length(size[own], least)
-            value, count = np.unique(values[_ragged(offsets[own], take)], return_counts=True)
+            # Whole sets: where frequent keys move to the end, later shingles become keys.
+            value, count = np.unique(values[_ragged(offsets[own], size[own])], return_counts=True)
             value, count = value[count > 1], count[count > 1]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(value), 2, np.int32)), pa.array(value.view(np.int64)), pa.array(count), pa.nulls(len(value), pa.binary()), pa.nulls(len(value), pa.int64()), pa.nulls(len(value), pa.binary())],
@@ -437,24 +439,57 @@ def _star_links(narrow: DataFrame, signatures: DataFrame, stars: DataFrame, leas
         return kept.select(["center", "chunk", "doc"])
 
     signed = members.where("chunks = 1").join(signatures.select("doc", "n", "bits"), "doc").select("center", "chunk", "doc", "n", "bits")
-    few = star(signed).groupBy("g").applyInArrow(likely, "center long, chunk int, doc long").withColumn("visits", F.lit(False))
-    many = members.where("chunks > 1").select("center", "chunk", "doc", F.lit(False).alias("visits"))
-    schema = "center long, chunk int, doc long, root long, visits boolean"
-    found = hand_off(_compared(narrow, hand_off(few.union(many)), star, least, schema))
+    few = star(signed).groupBy("g").applyInArrow(likely, "center long, chunk int, doc long")
+    whole = lambda df: df.withColumn("home", F.lit(-1)).withColumn("visits", F.lit(False))
+    many = members.where("chunks > 1").select("center", "chunk", "doc")
+    schema = "center long, chunk int, doc long, root long"
+    found = hand_off(_compared(narrow, hand_off(whole(few.select("center", "chunk", "doc").union(many))), star, least, schema))
     # Large stars only: what is not connected to the centre is compared with the other chunks too.
-    alone = found.where("root <> center").join(sized.where("chunks > 1").select(F.col("c").alias("center"), "chunks"), "center")
-    visitors = alone.select(
-        "center", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "doc", F.col("chunk").alias("home")
-    ).where("chunk <> home").select("center", "chunk", "doc", F.lit(True).alias("visits"))
-    again = hand_off(visitors)
+    large = sized.where("chunks > 1").select(F.col("c").alias("center"), "chunks")
+    alone = hand_off(found.where("root <> center").join(large, "center").select("center", "chunk", "doc").distinct())
     links = found.where("root <> doc").select(F.col("root").alias("a"), F.col("doc").alias("b"))
-    if again.isEmpty():
+    if alone.isEmpty():
         return links
-    hosts = many.join(again.select("center", "chunk").distinct(), ["center", "chunk"], "left_semi")
-    more = hand_off(_compared(narrow, hosts.select("center", "chunk", "doc", "visits").union(again), star, least, schema))
+    tiles = hand_off(_tiles(many.join(large, "center"), alone))
+    groups = tiles.count() // GROUP_ROWS + 1
+    tile = lambda df: df.withColumn("g", F.pmod(F.xxhash64("center", "chunk"), F.lit(groups)))
+
+    def likely_across(table):
+        keep = np.zeros(table.num_rows, bool)
+        n, home, visits = (table.column(c).to_numpy() for c in ("n", "home", "visits"))
+        bits = table.column("bits").to_pylist()
+        for at in _stars_of(table):
+            left, right = possible_pairs(n[at], [np.frombuffer(bits[i], np.uint64) for i in at], least)
+            asked = _asked(home[at], visits[at], left, right)
+            keep[at[left[asked]]] = keep[at[right[asked]]] = True
+        return table.filter(pa.array(keep)).select(["center", "chunk", "doc", "home", "visits"])
+
+    signed = tiles.join(signatures.select("doc", "n", "bits"), "doc").select("center", "chunk", "doc", "home", "visits", "n", "bits")
+    near = tile(signed).groupBy("g").applyInArrow(likely_across, "center long, chunk int, doc long, home int, visits boolean")
+    more = hand_off(_compared(narrow, hand_off(near.distinct()), tile, least, schema))
     return links.union(more.where("root <> doc").select("root", "doc"))
 
 
+def _tiles(many: DataFrame, alone: DataFrame) -> DataFrame:
+    """``center, chunk, doc, home, visits``: members of large stars for each pair of chunks to compare.
+
+    ``chunk`` numbers the pair. Of each chunk it has the members of ``alone``, and
+    all others (``visits`` is false) if the other chunk has such members.
+    """
+    keys = ["center", "chunk", "doc"]
+    marked = many.join(alone.withColumn("visits", F.lit(True)), keys, "left").withColumn("visits", F.coalesce("visits", F.lit(False)))
+    crossed = marked.withColumn("host", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).where("host <> chunk")
+    asking = alone.select("center", F.col("chunk").alias("host")).distinct().withColumn("asks", F.lit(True))
+    crossed = crossed.join(asking, ["center", "host"], "left").where("visits OR asks")
+    pair = F.least("chunk", "host") * F.col("chunks") + F.greatest("chunk", "host")
+    return crossed.select("center", pair.cast("int").alias("pair"), "doc", F.col("chunk").alias("home"), "visits").withColumnRenamed("pair", "chunk")
+
+
+def _asked(home: np.ndarray, visits: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which pairs are to be compared: all in a whole star, else those across chunks with a visiting member."""
+    return (home[left] < 0) | ((home[left] != home[right]) & (visits[left] | visits[right]))
+
+
 def _stars_of(table: pa.Table) -> list[np.ndarray]:
     """Row positions of each (center, chunk) with two members or more, by document."""
     center, chunk, doc = (table.column(c).to_numpy() for c in ("center", "chunk", "doc"))
@@ -467,36 +502,35 @@ def _stars_of(table: pa.Table) -> list[np.ndarray]:
 def _compared(narrow: DataFrame, members: DataFrame, star, least: int, schema: str) -> DataFrame:
     """Each member's smallest connected member in its chunk, from exact comparison.
 
-    With visitors in a chunk, only pairs of a visitor and a member are compared.
+    Between two chunks, only pairs across them with a visiting member are compared.
     """
-    own = pa.schema([("center", pa.int64()), ("chunk", pa.int32()), ("doc", pa.int64()), ("visits", pa.bool_()), ("data", pa.binary())])
-    out = pa.schema([("center", pa.int64()), ("chunk", pa.int32()), ("doc", pa.int64()), ("root", pa.int64()), ("visits", pa.bool_())])
+    own = pa.schema([("center", pa.int64()), ("chunk", pa.int32()), ("doc", pa.int64()), ("home", pa.int32()), ("visits", pa.bool_()), ("data", pa.binary())])
+    out = pa.schema([("center", pa.int64()), ("chunk", pa.int32()), ("doc", pa.int64()), ("root", pa.int64())])
 
     def fetch(batches):
         for batch in slices(batches):
             values, offsets = shingle_sets(texts_of(batch))
             data = [values[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("center", "chunk", "doc", "visits")), pa.array(data, pa.binary())], schema=own
+                [*(batch.column(c) for c in ("center", "chunk", "doc", "home", "visits")), pa.array(data, pa.binary())], schema=own
             )
 
     def compare(table):
         data = table.column("data").to_pylist()
-        doc, visits = table.column("doc").to_numpy(), table.column("visits").to_numpy(zero_copy_only=False)
+        doc, home, visits = (table.column(c).to_numpy() for c in ("doc", "home", "visits"))
         root = doc.copy()
         for at in _stars_of(table):
             sets = [np.frombuffer(data[i], np.uint64) for i in at]
             left, right = possible_pairs(np.array([len(s) for s in sets]), [bitmap(s) for s in sets], least)
-            if visits[at].any():
-                mixed = visits[at][left] != visits[at][right]
-                left, right = left[mixed], right[mixed]
+            asked = _asked(home[at], visits[at], left, right)
+            left, right = left[asked], right[asked]
             connected = Groups(len(at))
             verified(sets, left, right, least, connected)
             root[at] = doc[at[[connected.root(i) for i in range(len(at))]]]
-        columns = [table.column("center"), table.column("chunk"), table.column("doc"), pa.array(root), table.column("visits")]
+        columns = [table.column("center"), table.column("chunk"), table.column("doc"), pa.array(root)]
         return pa.Table.from_arrays(columns, schema=out)
 
     # A document's text is fetched once for each of its stars; unmatched texts end here.
-    texts = members.hint("merge").join(narrow, "doc").select("center", "chunk", "doc", "visits", "text")
-    sets = texts.mapInArrow(fetch, "center long, chunk int, doc long, visits boolean, data binary")
+    texts = members.hint("merge").join(narrow, "doc").select("center", "chunk", "doc", "home", "visits", "text")
+    sets = texts.mapInArrow(fetch, "center long, chunk int, doc long, home int, visits boolean, data binary")
     return star(sets).groupBy("g").applyInArrow(compare, schema)
