@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeline.llm import (
-    exact_dedup, katz, language_id, line_align, packing, pieces, quality_model, quality_rules, signature_join, substrings,
+    exact_dedup, katz, language_id, line_align, packing, pieces, quality_model, quality_rules, signature_join, spelling,
+    substrings,
 )
 from gaugeline.llm.common import crc_of
 
@@ -196,3 +197,54 @@ def op6_katz_backoff(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     scores, _ = katz.fit_and_score(docs, crc_of(F.col("doc_id"), 10) == 0)
     return scores
+
+
+_CRC_SQL = """tab AS (
+      SELECT list(c ORDER BY i) AS t
+      FROM (SELECT i, list_reduce([i] || [0, 0, 0, 0, 0, 0, 0, 0],
+                                  lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+            FROM range(256) r(i)))"""
+
+
+@query(
+    "op13_partenum",
+    f"""WITH RECURSIVE {_CRC_SQL},
+    found AS (
+      SELECT doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run
+      FROM documents),
+    runs AS (SELECT doc_id, run, count(*) AS c FROM found GROUP BY ALL),
+    coded AS (SELECT *, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x FROM runs),
+    hashed AS (
+      SELECT run, c, xor(list_reduce(
+        [4294967295::BIGINT] || list_transform(range(0, length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT),
+        lambda h, b: xor(h >> 8, t[(xor(h, b) & 255) + 1])), 4294967295) AS h
+      FROM coded, tab),
+    said AS (
+      SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c
+      FROM hashed),
+    w AS (
+      SELECT word, sum(c)::BIGINT AS n FROM said WHERE length(word) >= {spelling.MIN_LENGTH} GROUP BY 1
+      HAVING sum(c) >= {spelling.MIN_COUNT}),
+    gaps AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w),
+    cuts AS (SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b FROM gaps),
+    less AS (SELECT DISTINCT c.word AS long, c.n AS long_n, w.word AS short, w.n AS short_n FROM cuts c JOIN w ON w.word = c.a || c.b),
+    near AS (
+      SELECT x.word, x.n, y.word AS other, y.n AS other_n FROM cuts x JOIN cuts y ON x.a = y.a AND x.b = y.b AND x.i = y.i
+      WHERE x.word <> y.word
+      UNION ALL SELECT long, long_n, short, short_n FROM less UNION ALL SELECT short, short_n, long, long_n FROM less),
+    best AS (
+      SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS top, max(other_n) AS top_n
+      FROM near GROUP BY word),
+    formed AS (
+      SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN top_n >= 2 * w.n THEN top END AS form,
+             CASE WHEN top_n >= 2 * w.n THEN top_n END AS form_n
+      FROM w LEFT JOIN best USING (word)),
+    path AS (
+      SELECT word, word AS at, form AS next FROM formed
+      UNION ALL SELECT p.word, f.word, f.form FROM path p JOIN formed f ON f.word = p.next)
+    SELECT formed.word, form, path.at AS root, n, n_near, form_n
+    FROM formed JOIN path ON path.word = formed.word AND path.next IS NULL""",
+)
+def op13_partenum(spark, sf_dir):
+    return spelling.variant_groups(table(spark, sf_dir, "documents"))
