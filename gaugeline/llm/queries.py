@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeline.llm import (
-    exact_dedup, katz, language_id, line_align, packing, pieces, quality_model, quality_rules, signature_join, spelling,
-    substrings,
+    exact_dedup, katz, language_id, line_align, packing, personal_data, pieces, quality_model, quality_rules, signature_join, spelling,
+    substrings, vector_codes,
 )
 from gaugeline.llm.common import crc_of
 
@@ -248,3 +248,48 @@ _CRC_SQL = """tab AS (
 )
 def op13_partenum(spark, sf_dir):
     return spelling.variant_groups(table(spark, sf_dir, "documents"))
+
+
+def _lloyd_sql() -> str:
+    """Full rescans in every round, in SQL: the rule that the rounds of the operator must keep."""
+    near = """a{k} AS MATERIALIZED (
+      SELECT vec_id, label, p, v, arg_min(e, d) AS e, min(d) AS d
+      FROM (SELECT vec_id, label, x.p, v, e, list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT * 64 + e AS d
+            FROM x JOIN b{k} USING (p)) GROUP BY ALL)"""
+    mean = """s{k} AS (
+      SELECT p, e, i, floor(sum(v[i]) / count(*))::BIGINT AS m FROM a{k}, range(1, 5) r(i) GROUP BY ALL),
+    b{n} AS MATERIALIZED (
+      SELECT b{k}.p, b{k}.e, coalesce(f.c, b{k}.c) AS c
+      FROM b{k} LEFT JOIN (SELECT p, e, list(m ORDER BY i) AS c FROM s{k} GROUP BY ALL) f USING (p, e))"""
+    steps = ",\n    ".join(t.format(k=k, n=k + 1) for k in range(vector_codes.ROUNDS) for t in (near, mean))
+    last = vector_codes.ROUNDS
+    return f"""WITH kept AS (
+      SELECT vec_id, label, list_transform(embedding, lambda y: floor(256 * y::DOUBLE)::BIGINT) AS z FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda y: y IS NULL OR isnan(y) OR isinf(y))) = 0),
+    x AS MATERIALIZED (SELECT vec_id, label, p, z[4 * p + 1 : 4 * p + 4] AS v FROM kept, range(16) r(p)),
+    b0 AS MATERIALIZED (
+      SELECT p, e, v AS c FROM x JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept ORDER BY vec_id LIMIT 64) USING (vec_id)),
+    {steps},
+    {near.format(k=last)},
+    coded AS (
+      SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum((d - e) // 64)::BIGINT AS error
+      FROM a{last} GROUP BY ALL),
+    book AS (
+      SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS h FROM b{last})
+    SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, h AS codebooks_sha256
+    FROM coded, book"""
+
+
+@query("op11_active_lloyd", _lloyd_sql())
+def op11_active_lloyd(spark, sf_dir):
+    codes, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return vector_codes.with_label_error(codes).select(
+        "vec_id", "code", "error", "label_error", F.lit(vector_codes.digest(books)).alias("codebooks_sha256")
+    )
+
+
+@query("op12_bootstrapped_contexts")
+def op12_bootstrapped_contexts(spark, sf_dir):
+    return personal_data.find_personal_data(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans"
+    )
