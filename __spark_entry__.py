@@ -16,14 +16,17 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from gaugeline.functions import times, vectors  # noqa: E402
+from gaugeline.ml import bundle  # noqa: E402
 from gaugeline.ml.model import WindowForecaster, WindowForecastModel  # noqa: E402
-from gaugeline.operators import projections, scaling, scoring, sharding, windows  # noqa: E402
+from gaugeline.operators import indexing, projections, scaling, scoring, sharding, windows  # noqa: E402
 from gaugeline.plans import forecast, job, metrics, sweep, training  # noqa: E402
 from gaugeline.plans.classify import classify_vectors  # noqa: E402
-from gaugeline.session import scratch_dir  # noqa: E402
+from gaugeline.session import scratch_dir, written  # noqa: E402
 from gaugeline.sinks import examples as example_sink  # noqa: E402
 from gaugeline.sinks import predictions as prediction_sink  # noqa: E402
+from gaugeline.sinks import runs  # noqa: E402
 from gaugeline.sources import examples, files, predictions, telemetry  # noqa: E402
+from gaugeline.sources.file_order import FILE_ORDER, in_file_order  # noqa: E402
 
 try:  # the training-data operators are a part that can be left out
     import gaugeline.llm.queries as llm  # noqa: E402
@@ -298,6 +301,39 @@ def score_by_signature(spark, sf_dir):
     ])).alias("r")).select("event_type", "window_id", "r.signature", "r.prediction")
 
 
+@query(
+    "score_by_bundle",
+    f"""WITH {_CELLS},
+    sums AS (
+      SELECT event_type, window_id, sum(value * (pos + 1)) / 1830.0 + 0.5 AS level, avg(value) AS mean
+      FROM cells GROUP BY event_type, window_id HAVING count(*) = 60)
+    SELECT event_type, window_id, 'level' AS signature, round(level, 6) AS prediction FROM sums
+    UNION ALL SELECT event_type, window_id, 'mean', round(mean, 6) FROM sums""",
+)
+def score_by_bundle(spark, sf_dir):
+    """Two functions of one bundle, chosen by signature and tags."""
+    target = scratch_dir(spark)
+    weights = {"coefficients": [(i + 1) / 1830 for i in range(SIZE)], "intercept": 0.5}
+    level = bundle.Function("linear", ["window"], {"level": "score"}, weights)
+    mean = bundle.Function("window_mean", ["window"], {"mean": "score"})
+    other = bundle.Function("ramp_tanh", ["window"], {"level": "score"})
+    bundle.write_bundle(spark, target, {"serve": {"level": level, "mean": mean}, "serve,other": {"level": other}})
+    rows = _events(spark, sf_dir)
+
+    def scored(signature: str) -> DataFrame:
+        model = (
+            WindowForecastModel(seriesCols=SERIES, orderCols=ORDER, scaling="none")
+            .setInputMapping({"value": "window"})
+            .setOutputMapping({signature: "prediction"})
+            .setExportDir(target).setTagSet("serve").setSignature(signature)
+        )
+        return model.transform(rows).select(
+            "event_type", "window_id", F.lit(signature).alias("signature"), F.round("prediction", 6).alias("prediction")
+        )
+
+    return scored("level").union(scored("mean"))
+
+
 @query(
     "score_multi_output",
     f"""WITH {_LINE_FIT},
@@ -400,6 +436,26 @@ def score_by_shard(spark, sf_dir):
     return scored.select("vec_id", "shard", "label", vectors.argmax(F.col("scores")).alias("pred"))
 
 
+@query(
+    "score_by_shard_gang",
+    f"""WITH {_CLASSES}
+    SELECT vec_id, CAST(vec_id % 2 AS INTEGER) AS shard, label, pred, CAST(vec_id % 2 AS INTEGER) AS task FROM best""",
+)
+def score_by_shard_gang(spark, sf_dir):
+    """Each shard in one task, and the tasks side by side."""
+    vecs = _embeddings(spark, sf_dir).select(
+        "vec_id",
+        sharding.row_shard(F.col("vec_id"), 2).alias("shard"),
+        F.col("label").cast("bigint").alias("label"),
+        vectors.normalize(F.col("embedding")).alias("vector"),
+    )
+    gang = sharding.gang_partitions(vecs, 2).withColumn("task", F.spark_partition_id())
+    scored = scoring.score_shards(
+        gang, "vector", "folded_classes", keep=["vec_id", "shard", "label", "task"], batch_size=10, gang=True
+    )
+    return scored.select("vec_id", "shard", "label", vectors.argmax(F.col("scores")).alias("pred"), "task")
+
+
 # --------------------------------------------------------------------------
 # Windows
 # --------------------------------------------------------------------------
@@ -854,6 +910,31 @@ def shuffle_examples(spark, sf_dir):
     return sharding.shuffled_places(rows, "event_id", seed=512)
 
 
+@query("shuffle_buffer", "SELECT event_id, event_type, value FROM events")
+def shuffle_buffer(spark, sf_dir):
+    """Every row once, in another order."""
+    return sharding.buffer_shuffle(_events(spark, sf_dir).select("event_id", "event_type", "value"), seed=7)
+
+
+@query(
+    "dataset_from_rows",
+    """SELECT n_name, count(*) AS customers, round(sum(c_acctbal), 2) AS balance
+    FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""",
+)
+def dataset_from_rows(spark, sf_dir):
+    """A small collection of the driver as a cached dataset, released when its result is written."""
+    nations = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    held = sharding.dataset_from_rows(spark, [tuple(r) for r in nations.collect()], nations.schema, 5)
+    try:
+        customers = _table(spark, sf_dir, "customer").join(held, F.col("c_nationkey") == F.col("n_nationkey"))
+        total = customers.groupBy("n_name").agg(
+            F.count(F.lit(1)).alias("customers"), F.round(F.sum("c_acctbal"), 2).alias("balance")
+        )
+        return written(total)
+    finally:
+        held.unpersist()
+
+
 @query(
     "partitioned_dataset",
     """SELECT event_type, count(*) AS n, round(sum(value), 4) AS total, 10 AS partitions
@@ -912,6 +993,60 @@ def csv_scan_inferred(spark, sf_dir):
     return _event_rows(telemetry.read_telemetry(spark, _events_as_csv(spark, sf_dir)))
 
 
+@query(
+    "csv_scan_by_name",
+    """SELECT event_id, CASE WHEN event_id % 97 = 0 OR event_id % 89 = 0 THEN NULL ELSE event_type END AS event_type,
+           CASE WHEN event_id % 97 = 0 OR event_id % 89 = 0 THEN NULL ELSE round(value, 4) END AS used,
+           CASE WHEN event_id % 97 = 0 OR event_id % 89 = 0 THEN 'malformed record' END AS reason
+    FROM events""",
+)
+def csv_scan_by_name(spark, sf_dir):
+    """Files whose columns stand in different orders, with text for numbers and rows that are too long."""
+    target = scratch_dir(spark)
+    number = F.round("value", 4).cast("string")
+    number = F.when(F.col("event_id") % 97 == 0, "n/a").when(F.col("event_id") % 89 == 0, F.concat(number, F.lit(",9,9"))).otherwise(number)
+    rows = _events(spark, sf_dir).select(F.col("event_id").cast("string").alias("event_id"), "event_type", number.alias("%used"))
+    for k, order in enumerate((["event_id", "event_type", "%used"], ["event_id", "%used", "event_type"])):
+        part = rows.where(F.col("event_id").cast("bigint") % 2 == k).select(*[f"`{c}`" for c in order])
+        part.write.option("header", True).option("quote", "").mode("append").csv(target)
+    scan = telemetry.scan_telemetry(spark, target, "event_id bigint, event_type string, `%used` double")
+    kept = scan.stored(scratch_dir(spark))
+    good = kept.rows.select("event_id", "event_type", F.col("%used").alias("used"), F.lit(None).cast("string").alias("reason"))
+    first = F.split("record", ",")[0].cast("bigint")
+    bad = kept.rejects.select(
+        first.alias("event_id"), F.lit(None).cast("string").alias("event_type"), F.lit(None).cast("double").alias("used"), "reason"
+    )
+    return good.union(bad)
+
+
+@query(
+    "prefix_file_order",
+    """SELECT event_id, event_type, value, row_number() OVER (ORDER BY ts, event_id) - 1 AS place
+    FROM events QUALIFY place < 480""",
+)
+def prefix_file_order(spark, sf_dir):
+    """The first rows of CSV files by their place in the files alone; no column says their order."""
+    target = scratch_dir(spark)
+    laid = _events(spark, sf_dir).repartitionByRange(6, "ts", "event_id").sortWithinPartitions("ts", "event_id")
+    laid.select("event_id", "event_type", "value").write.option("header", True).csv(target)
+    lines = spark.read.schema("event_id bigint, event_type string, value double").option("header", True).csv(target)
+    return indexing.index_rows(in_file_order(lines), FILE_ORDER, name="place", first=480).drop(*FILE_ORDER)
+
+
+@query(
+    "count_windows_file_order",
+    """SELECT event_id, row // 60 AS window_id, CAST(row % 60 AS INTEGER) AS pos
+    FROM (SELECT event_id, row_number() OVER (ORDER BY ts, event_id) - 1 AS row FROM events)""",
+)
+def count_windows_file_order(spark, sf_dir):
+    """Windows over Parquet files in file order, by the row's index in its file."""
+    target = scratch_dir(spark)
+    laid = _events(spark, sf_dir).repartitionByRange(6, "ts", "event_id").sortWithinPartitions("ts", "event_id")
+    laid.select("event_id", "value").write.parquet(target)
+    cut = windows.count_windows(in_file_order(spark.read.parquet(target)), FILE_ORDER, SIZE)
+    return cut.select("event_id", "window_id", "pos")
+
+
 @query(
     "telemetry_normalized",
     f"""SELECT event_type AS series, {_STAMP.format('ts')} AS ts, value FROM events""",
@@ -977,6 +1112,53 @@ def json_roundtrip(spark, sf_dir):
     return stored.withColumn("prediction", F.round("prediction", 6))
 
 
+@query(
+    "json_scan_rejects",
+    """SELECT event_id, CASE WHEN event_id % 3 <> 0 AND event_id % 4 <> 0 THEN round(value, 6) END AS prediction,
+           CASE WHEN event_id % 3 = 0 THEN 'malformed record' WHEN event_id % 4 = 0 THEN 'no prediction' END AS reason
+    FROM events""",
+)
+def json_scan_rejects(spark, sf_dir):
+    """Lines that break off and lines without a prediction are reported, never read as null; the schema is inferred once."""
+    target = scratch_dir(spark)
+    line = F.to_json(F.struct(F.array(F.col("event_id").cast("string")).alias("Datetime"), F.array(F.round("value", 6)).alias("prediction")))
+    broken = F.when(F.col("event_id") % 3 == 0, F.expr("left(line, length(line) - 2)"))
+    absent = F.when(F.col("event_id") % 4 == 0, F.regexp_replace("line", '"prediction":.*$', '"other":1}'))
+    rows = _events(spark, sf_dir).withColumn("line", line)
+    rows.select(F.coalesce(broken, absent, "line").alias("value")).write.text(f"{target}/lines")
+    runs.commit(spark, f"{target}/run", spark.read.text(f"{target}/lines").write.text)
+    inferred = predictions.inferred_schema(spark, f"{target}/run")
+    schema = predictions.inferred_schema(spark, f"{target}/run")
+    if schema != inferred:
+        raise ValueError("the kept schema differs from the inferred one")
+    scan = predictions.scan_predictions(spark, f"{target}/run", schema)
+    good = predictions.prediction_values(scan.rows).select(
+        F.col("Datetime").cast("bigint").alias("event_id"), "prediction", F.lit(None).cast("string").alias("reason")
+    )
+    at = F.regexp_extract("record", r"\"Datetime\":\[\"(\d+)", 1).cast("bigint")
+    return good.union(scan.rejects.select(at.alias("event_id"), F.lit(None).cast("double").alias("prediction"), "reason"))
+
+
+@query(
+    "committed_run",
+    f"""WITH {_PREDICTED}
+    SELECT {_STAMP.format('window_end')} AS "Datetime", round(prediction, 6) AS prediction,
+           (SELECT count(*) FROM predicted) AS report_lines
+    FROM predicted""",
+)
+def committed_run(spark, sf_dir):
+    """One run id, written three times, once left without a commit: one set of rows is read."""
+    base, run = scratch_dir(spark), "20210408022459-prediction"
+    scored = written(_predictions(spark, sf_dir))
+    prediction_sink.write_predictions(scored, base, f"{run}/attempt-0")  # an attempt that broke before its commit
+    for _ in range(2):
+        folder = prediction_sink.commit_predictions(scored, base, run)
+        prediction_sink.commit_report(scored, f"{folder}-report")
+    stored = predictions.prediction_values(predictions.read_predictions(spark, folder))
+    lines = predictions.read_report(spark, f"{folder}-report").agg(F.count("prediction"))
+    return stored.withColumn("prediction", F.round("prediction", 6)).withColumn("report_lines", lines.scalar())
+
+
 @query(
     "text_report",
     f"WITH {_PREDICTED} SELECT round(prediction, 6) AS prediction FROM predicted",
@@ -1162,6 +1344,28 @@ def forecast_fitted(spark, sf_dir):
     )
 
 
+@query(
+    "fit_resumed",
+    f"""WITH {_PAIRS},
+    line AS (SELECT regr_slope(y, x) AS slope, regr_intercept(y, x) AS intercept FROM pairs WHERE y IS NOT NULL)
+    SELECT event_id, event_type, round(value * slope + intercept, 5) AS prediction FROM events, line""",
+)
+def fit_resumed(spark, sf_dir):
+    """A fit that stops after one step, gone on from its written state by another estimator."""
+    events, state = _events(spark, sf_dir), scratch_dir(spark)
+    for epochs in (1, 4):
+        forecaster = (
+            WindowForecaster(seriesCols=SERIES, orderCols=ORDER, windowSize=1, scaling="none", solver="gradient", maxIter=1)
+            .setInputMapping({"value": "window"})
+            .setOutputMapping({"score": "prediction"})
+            .setEpochs(epochs).setModelDir(state)
+        )
+        model = forecaster.fit(events)
+    line = model.getArgs()
+    fitted = F.col("value") * line["coefficients"][0] + line["intercept"]
+    return events.select("event_id", "event_type", F.round(fitted, 5).alias("prediction"))
+
+
 @query(
     "training_feed",
     """SELECT CAST(epoch AS INTEGER) AS epoch, event_id, event_type, value

@@ -4,17 +4,20 @@ from __future__ import annotations
 
 from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Estimator, Model
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gaugeline.ml.bundle import SERVING_TAG, load_function
 from gaugeline.ml.scorers import DEFAULT_SIGNATURE, lookup
 from gaugeline.operators.projections import output_mapping
 from gaugeline.operators.scoring import BATCH_SIZE, score
 from gaugeline.operators.windows import WINDOW_SIZE
 from gaugeline.plans.forecast import predict_windows
+from gaugeline.plans.gradient import fit_linear
 from gaugeline.plans.training import lag_features
 
 
@@ -77,15 +80,28 @@ class WindowParams(Params):
         typeConverter=TypeConverters.toInt,
     )
     solver = Param(
-        Params._dummy(), "solver", "normal (exact, one pass) or l-bfgs (maxIter * epochs steps)",
+        Params._dummy(), "solver",
+        "normal (exact, one pass), l-bfgs or gradient (maxIter * epochs steps; gradient keeps its state in modelDir)",
         typeConverter=TypeConverters.toString,
     )
     modelPath = Param(
         Params._dummy(), "modelPath", "saved model the scorer loads",
         typeConverter=TypeConverters.toString,
     )
+    modelDir = Param(
+        Params._dummy(), "modelDir", "shared folder of the training state; the latest one is gone on from",
+        typeConverter=TypeConverters.toString,
+    )
+    exportDir = Param(
+        Params._dummy(), "exportDir", "model bundle that holds the scoring function",
+        typeConverter=TypeConverters.toString,
+    )
+    tagSet = Param(
+        Params._dummy(), "tagSet", "tags of the bundle's variant, with commas",
+        typeConverter=TypeConverters.toString,
+    )
     signature = Param(
-        Params._dummy(), "signature", "scoring function to call",
+        Params._dummy(), "signature", "scoring function to call, registered or of the bundle",
         typeConverter=TypeConverters.toString,
     )
     args = Param(
@@ -107,6 +123,7 @@ class WindowParams(Params):
             maxIter=1000,
             solver="normal",
             signature=DEFAULT_SIGNATURE,
+            tagSet=SERVING_TAG,
             args={},
         )
 
@@ -134,6 +151,12 @@ class WindowParams(Params):
             raise ValueError("inputMapping names no column")
         return columns
 
+    def scoring_function(self, spark):
+        """The function of the bundle at ``exportDir``, or the name of a registered one."""
+        if not self.isDefined("exportDir"):
+            return self.getSignature()
+        return load_function(spark, self.getExportDir(), self.getSignature(), self.getTagSet())
+
     def setInputMapping(self, value: dict):
         return self._set(inputMapping=value)
 
@@ -224,6 +247,24 @@ class WindowParams(Params):
     def getModelPath(self) -> str | None:
         return self.getOrDefault("modelPath") if self.isDefined("modelPath") else None
 
+    def setModelDir(self, value: str):
+        return self._set(modelDir=value)
+
+    def getModelDir(self) -> str | None:
+        return self.getOrDefault("modelDir") if self.isDefined("modelDir") else None
+
+    def setExportDir(self, value: str):
+        return self._set(exportDir=value)
+
+    def getExportDir(self) -> str | None:
+        return self.getOrDefault("exportDir") if self.isDefined("exportDir") else None
+
+    def setTagSet(self, value: str):
+        return self._set(tagSet=value)
+
+    def getTagSet(self) -> str:
+        return self.getOrDefault("tagSet")
+
     def setSignature(self, value: str):
         return self._set(signature=value)
 
@@ -257,7 +298,7 @@ class WindowForecastModel(Model, WindowParams, DefaultParamsReadable, DefaultPar
             self.getTail(),
             self.getScaling(),
             self.getInputShape(),
-            signature=self.getSignature(),
+            signature=self.scoring_function(dataset.sparkSession),
             outputs=self.getOutputMapping() or None,
             scale_by=self.getScaleBy(),
             batch_size=self.getBatchSize(),
@@ -279,7 +320,7 @@ class VectorModel(Model, WindowParams, DefaultParamsReadable, DefaultParamsWrita
         self._set(**params)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        signature, mapping = self.getSignature(), self.getOutputMapping()
+        signature, mapping = self.scoring_function(dataset.sparkSession), self.getOutputMapping()
         names = list(lookup(signature).outputs) or sorted(mapping)
         options = {**self.scorer_options(), "outputs": names}
         scored = score(
@@ -295,7 +336,9 @@ class WindowForecaster(Estimator, WindowParams, DefaultParamsReadable, DefaultPa
     """Fits the next value of the last mapped column on windows of all mapped columns.
 
     Training is one distributed least-squares fit; the coefficients (one per
-    window position and input) are all that reaches the driver.
+    window position and input) are all that reaches the driver. With
+    ``solver="gradient"`` and a ``modelDir`` the fit writes its state every epoch
+    (``maxIter`` steps) and goes on from the latest one.
     """
 
     @keyword_only
@@ -318,19 +361,22 @@ class WindowForecaster(Estimator, WindowParams, DefaultParamsReadable, DefaultPa
         # The fit passes over the examples more than once; packed windows are an
         # eighth of the rows they came from.
         examples = examples.select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
+        steps = self.getMaxIter() * self.getEpochs()
         try:
-            fitted = LinearRegression(
-                solver=self.getSolver(),
-                maxIter=self.getMaxIter() * self.getEpochs(),
-                tol=1e-12,
-            ).fit(examples)
+            if self.getSolver() == "gradient":
+                arrays = examples.select(vector_to_array("features").alias("features"), "label")
+                state = fit_linear(arrays, steps, self.getMaxIter(), self.getModelDir())
+                coefficients, intercept = state.weights[:-1], state.weights[-1]
+            else:
+                fitted = LinearRegression(solver=self.getSolver(), maxIter=steps, tol=1e-12).fit(examples)
+                coefficients, intercept = [float(c) for c in fitted.coefficients], float(fitted.intercept)
         finally:
             examples.unpersist()
         model = self._copyValues(WindowForecastModel())
         return model.setSignature("linear").setArgs(
             {
                 **self.getArgs(),
-                "coefficients": [float(c) for c in fitted.coefficients],
-                "intercept": float(fitted.intercept),
+                "coefficients": coefficients,
+                "intercept": intercept,
             }
         )

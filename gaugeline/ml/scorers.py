@@ -102,7 +102,10 @@ def register(name: str, scorer: Scorer) -> None:
     _REGISTRY[name] = scorer
 
 
-def lookup(name: str) -> Scorer:
+def lookup(name: str | Scorer) -> Scorer:
+    """The scorer of this name; a scorer (such as a function of a bundle) stands for itself."""
+    if isinstance(name, Scorer):
+        return name
     try:
         return _REGISTRY[name]
     except KeyError:

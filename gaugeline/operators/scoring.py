@@ -88,9 +88,15 @@ def score_shards(
     output: str = "scores",
     batch_size: int = BATCH_SIZE,
     options: dict | None = None,
+    gang: bool = False,
+    profile=None,
 ) -> DataFrame:
     """Score partitions independently; the model is loaded once per Python worker, not per task.
 
+    With ``gang`` all partitions are scored at the same time or not at all (a
+    barrier stage; the cluster needs a free slot for each), as by workers that each own a
+    shard; ``profile`` is a resource profile for these tasks.
+
     Rows stay where the scan put them, so a scan that reads shards needs no
     shuffle; ``keep`` must name the shard column if it is wanted in the result.
     """
@@ -116,4 +122,4 @@ def score_shards(
                 result = predict(np.stack(part[vector].to_numpy()))
                 yield part[keep].assign(**{output: list(result)})
 
-    return source.mapInPandas(walk, schema)
+    return source.mapInPandas(walk, schema, barrier=gang, profile=profile)

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from gaugeline.functions.names import cols, name_list
 from gaugeline.operators.indexing import index_rows
 
+#: Rows that a shuffle buffer holds.
+SHUFFLE_BUFFER = 512
+
 
 def row_shard(position: Column, shards: int) -> Column:
     """Row ``i`` belongs to worker ``i mod shards``."""
@@ -36,6 +39,11 @@ def assign_file_shards(examples: DataFrame, files: DataFrame, shards: int) -> Da
     return examples.join(numbered, "file")
 
 
+def gang_partitions(df: DataFrame, shards: int, shard: str = "shard") -> DataFrame:
+    """Each of ``shards`` shards as one partition of its own, for tasks that run side by side."""
+    return df.repartitionById(shards, F.col(shard))
+
+
 def partitioned_dataset(df: DataFrame, partitions: int, cache: bool = True) -> DataFrame:
     """Rows spread evenly over ``partitions`` partitions and kept for reuse."""
     spread = df.repartition(partitions)
@@ -62,6 +70,48 @@ def shuffle_rows(
 
 
 
+def buffer_shuffle(df: DataFrame, buffer: int = SHUFFLE_BUFFER, seed: int = 0) -> DataFrame:
+    """Rows shuffled on the way through, inside each partition: no sort, no exchange.
+
+    A partition keeps ``buffer`` rows. Each further row takes the place of a row
+    drawn from them, which goes out; what is left at the end goes out in random order.
+    Draws depend on ``seed`` and the partition's number only, so a task that runs
+    again gives the same order. Rows move by about ``buffer`` places, and never
+    to another partition: for an order that is random throughout, see ``shuffle_rows``.
+    """
+    if buffer < 1:
+        raise ValueError("a shuffle buffer holds at least one row")
+
+    def mix(batches):
+        import random
+
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        draw = random.Random(f"{seed}-{TaskContext.get().partitionId()}")
+        held = None
+        for batch in batches:
+            new = pa.Table.from_batches([batch])
+            both = new if held is None else pa.concat_tables([held, new])
+            count = 0 if held is None else held.num_rows
+            kept, out = list(range(count)), []
+            for row in range(count, both.num_rows):
+                if len(kept) < buffer:
+                    kept.append(row)
+                else:
+                    place = draw.randrange(buffer)
+                    out.append(kept[place])
+                    kept[place] = row
+            if out:
+                yield from both.take(out).combine_chunks().to_batches()
+            held = both.take(kept).combine_chunks()
+        if held is not None:
+            left = list(range(held.num_rows))
+            draw.shuffle(left)
+            yield from held.take(left).combine_chunks().to_batches()
+
+    return df.mapInArrow(mix, df.schema)
+
 
 def shuffled_places(df: DataFrame, key: str, seed: int = 0, name: str = "place") -> DataFrame:
     """Add each row's place in an order drawn from a hash of its key, without a global sort.

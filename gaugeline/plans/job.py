@@ -12,7 +12,7 @@ from gaugeline.operators.projections import ALERT_THRESHOLD, threshold_alerts
 from gaugeline.operators.windows import WINDOW_SIZE
 from gaugeline.plans.forecast import predict_windows
 from gaugeline.session import written
-from gaugeline.sinks.predictions import write_predictions, write_report
+from gaugeline.sinks.predictions import commit_predictions, commit_report
 
 
 @dataclass(frozen=True)
@@ -38,14 +38,15 @@ def forecast_run(
     Readings are ordered by time and ``ids``, or by time and value where there is
     no id. Windows are scored once: both files and the alerts come from one
     written table. Every reading counts, the short last window of a series too,
-    unless ``tail`` is ``drop`` or the series is shorter than one window.
+    unless ``tail`` is ``drop`` or the series is shorter than one window. Files are
+    committed: a job repeated with the same ``run`` adds nothing to them.
     """
     order = ["ts", *(list(ids) or ["value"])]
     run = run or run_id()
     predictions = written(
         predict_windows(telemetry, order, "value", size, "series", "ts", tail, **options)
     )
-    folder = write_predictions(predictions, base, run)
+    folder = commit_predictions(predictions, base, run)
     report = f"{folder}-report"
-    write_report(predictions, report)
+    commit_report(predictions, report)
     return Run(folder, report, threshold_alerts(predictions, threshold, decimals=decimals))

@@ -10,14 +10,26 @@ from pyspark.sql import types as T
 
 from gaugeline.functions.names import col, cols
 from gaugeline.functions.times import DATE_FORMAT, EVENT_TIME_FORMAT, TIME_FORMAT, event_time
+from gaugeline.sources.checked import Scan, read_delimited
 
 
-def read_telemetry(spark: SparkSession, path, schema=None) -> DataFrame:
-    """CSV with a header row. Give a schema for large data: inferring one reads the files twice."""
-    reader = spark.read.option("header", True)
-    if schema is None:
-        return reader.option("inferSchema", True).csv(path)
-    return reader.schema(schema).csv(path)
+def scan_telemetry(spark: SparkSession, path, schema=None, **options) -> Scan:
+    """CSV files with a header each: readable rows, and rejects. Columns are bound by name, file by file.
+
+    Give a schema for large data: inferring one reads files twice.
+    """
+    return read_delimited(spark, path, schema, **options)
+
+
+def read_telemetry(spark: SparkSession, path, schema=None, **options) -> DataFrame:
+    """The rows of ``scan_telemetry``; a malformed record is an error."""
+    return scan_telemetry(spark, path, schema, **options).strict()
+
+
+def with_event_times(scan: Scan, date: str = "Date", time: str = "time", fmt: str = EVENT_TIME_FORMAT) -> Scan:
+    """Also reject rows whose date and time (both text) are no event time."""
+    read = F.try_to_timestamp(F.concat_ws("-", col(date), col(time)), F.lit(fmt))
+    return scan.refused(read.isNull(), "no event time", F.to_json(F.struct(*cols(scan.names))))
 
 
 def normalize_telemetry(
