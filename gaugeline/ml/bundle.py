@@ -78,9 +78,8 @@ def scorer_of(function: Function) -> Scorer:
 
         def call(*inputs):
             result = predict(*[inputs[i] for i in place])
-            if alone:
-                return result
-            return {name: result[own] for name, own in outputs.items()}
+            named = {name: result if alone else result[own] for name, own in outputs.items()}
+            return next(iter(named.values())) if len(named) == 1 else named
 
         return call
 

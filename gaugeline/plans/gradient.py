@@ -35,7 +35,7 @@ class SolverState:
     @property
     def error(self) -> float:
         """How far the gradient is from zero, on the scale of its own features."""
-        return float(sum(r * r / d for r, d in zip(self.residual, self.diagonal)))
+        return float(sum(r * r / d for r, d in zip(self.residual, self.diagonal))) ** 0.5
 
 
 def _sums(examples: DataFrame, of: Callable) -> np.ndarray:

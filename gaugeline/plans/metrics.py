@@ -51,6 +51,58 @@ def measure_each(
     return [measure(df, value, action, stage) for stage, df in frames]
 
 
+@dataclass(frozen=True)
+class OperatorMetrics:
+    """One operator of an executed plan, ``depth`` levels below its result.
+
+    ``rows`` are those it gave on, where it counts them; ``seconds`` is the time it
+    states for itself, summed over its tasks: of a whole code-generation stage,
+    a scan, a sort, a shuffle's write, Python workers.
+    """
+
+    operator: str
+    depth: int
+    rows: int | None
+    seconds: float
+    metrics: dict[str, int]
+
+
+#: Types of Spark's metrics that are times, and their part of a second.
+_TIMES = {"timing": 1e-3, "nsTiming": 1e-9}
+
+
+def operator_metrics(df: DataFrame) -> list[OperatorMetrics]:
+    """Run the plan of ``df`` once and read the metrics that its operators kept, from the result downwards.
+
+    They are the numbers of the plan that ran, after adaptive execution; no web
+    page or listener is needed. ``consume`` runs a plan of its own, so nothing else does.
+    """
+    execution = df._jdf.queryExecution()
+    execution.toRdd().count()
+    out = []
+
+    def walk(node, depth: int) -> None:
+        kind = node.nodeName()
+        if kind.startswith("AdaptiveSparkPlan"):
+            return walk(node.executedPlan(), depth)
+        if kind.endswith("QueryStage"):
+            return walk(node.plan(), depth)
+        values, seconds, found = {}, 0.0, node.metrics().iterator()
+        while found.hasNext():
+            entry = found.next()
+            value = entry._2().value()
+            values[entry._1()] = value
+            seconds += max(0, value) * _TIMES.get(entry._2().metricType(), 0.0)
+        rows = values.get("numOutputRows", values.get("shuffleRecordsWritten"))
+        out.append(OperatorMetrics(kind, depth, rows, seconds, values))
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i), depth + 1)
+
+    walk(execution.executedPlan(), 0)
+    return out
+
+
 def consume(df: DataFrame) -> None:
     """Run the whole plan and keep nothing."""
     df.write.format("noop").mode("overwrite").save()
