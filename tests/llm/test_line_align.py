@@ -6,48 +6,46 @@ from collections import defaultdict
 
 from gaugeline.llm import line_align as la
 
+WHITE = " \t\n\v\f\r"
+
 
 def lines_of(text):
-    return [x for x in (text or "").split("\n") if x.strip(" \t\n\v\f\r")]
+    return [x for x in (text or "").split("\n") if x.strip(WHITE)]
 
 
 def brute(rows):
-    """The same rules, without hashes, joins or partitions."""
+    """The rules of the module without hashes, joins or partitions: each document is aligned with all earlier ones."""
     seqs = {}
     for i, t in sorted(rows):
-        seqs.setdefault(tuple(x.strip(" \t\n\v\f\r") for x in lines_of(t)), i)
+        seqs.setdefault(tuple(x.strip(WHITE) for x in lines_of(t)), i)
     seqs.pop((), None)
-    owner, df = {}, defaultdict(int)
-    for seq, i in sorted(seqs.items(), key=lambda x: x[1]):
+    held = defaultdict(list)
+    for seq, i in seqs.items():
         for x in set(seq):
-            owner.setdefault(x, i)
-            df[x] += 1
+            held[x].append(i)
     of = {i: seq for seq, i in seqs.items()}
     out = {}
     for i, t in rows:
-        seq = tuple(x.strip(" \t\n\v\f\r") for x in lines_of(t))
-        if not seq:
-            out[i] = t
-            continue
-        words = [len(x.split()) for x in seq]
-        gone = set()
-        if seqs[seq] < i:
-            gone = set(range(len(seq))) if sum(words) >= la.BLOCK_WORDS else set()
+        seq = tuple(x.strip(WHITE) for x in lines_of(t))
+        words, gone = [len(x.split()) for x in seq], set()
+        if seq and seqs[seq] < i:
+            gone = set(range(len(seq))) if sum(words) >= la.BLOCK_WORDS else gone
         else:
             evidence = defaultdict(float)
             for x in set(seq):
-                if df[x] > 1 and owner[x] < i:
-                    evidence[owner[x]] += math.log(max(len(seqs), 2) / df[x])
+                for p in held[x]:
+                    if p < i:
+                        evidence[p] += math.log(max(len(seqs), 2) / len(held[x]))
             for p, e in evidence.items():
                 if e >= la.EVIDENCE:
                     gone |= set(la.lines_to_delete(list(seq), words, list(of[p])))
         at, left = 0, []
-        for line in t.split("\n"):
-            filled = bool(line.strip(" \t\n\v\f\r"))
+        for line in (t or "").split("\n"):
+            filled = bool(line.strip(WHITE))
             if not (filled and at in gone):
                 left.append(line)
             at += filled
-        out[i] = "\n".join(left) if lines_of("\n".join(left)) or not gone else ""
+        out[i] = t if not gone else "\n".join(left) if lines_of("\n".join(left)) else ""
     return out
 
 

@@ -1,53 +1,11 @@
 """Line alignment against a plain version that compares with every earlier document."""
 
-import math
-from collections import defaultdict
-
 from gaugeline.llm import line_align as la
-from test_line_align import corpus, lines_of
-
-WHITE = " \t\n\v\f\r"
-
-
-def every_earlier(rows):
-    """The rules of the module, each document aligned with all earlier ones."""
-    seqs = {}
-    for i, t in sorted(rows):
-        seqs.setdefault(tuple(x.strip(WHITE) for x in lines_of(t)), i)
-    seqs.pop((), None)
-    held = defaultdict(list)
-    for seq, i in seqs.items():
-        for x in set(seq):
-            held[x].append(i)
-    of = {i: seq for seq, i in seqs.items()}
-    out = {}
-    for i, t in rows:
-        seq = tuple(x.strip(WHITE) for x in lines_of(t))
-        words, gone = [len(x.split()) for x in seq], set()
-        if seq and seqs[seq] < i:
-            gone = set(range(len(seq))) if sum(words) >= la.BLOCK_WORDS else gone
-        else:
-            evidence = defaultdict(float)
-            for x in set(seq):
-                for p in held[x]:
-                    if p < i:
-                        evidence[p] += math.log(max(len(seqs), 2) / len(held[x]))
-            for p, e in evidence.items():
-                if e >= la.EVIDENCE:
-                    gone |= set(la.lines_to_delete(list(seq), words, list(of[p])))
-        at, left = 0, []
-        for line in (t or "").split("\n"):
-            filled = bool(line.strip(WHITE))
-            if not (filled and at in gone):
-                left.append(line)
-            at += filled
-        out[i] = t if not gone else "\n".join(left) if lines_of("\n".join(left)) else ""
-    return out
-
+from test_line_align import brute, corpus
 
 def same(make_docs, rows):
     got = {r.doc_id: r.text for r in la.dedup_lines(make_docs(rows), drop_emptied=False).collect()}
-    assert got == every_earlier(rows)
+    assert got == brute(rows)
     return got
 
 
