@@ -28,7 +28,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +40,10 @@ from gaugeline.llm.common import hash_words, slices, texts_of
 from gaugeline.llm.packed import pack, small, unpack, word_arrays, words_from
 
 #: Text bytes of a slice, and slices to one hash range.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 RANGE_SLICES = 8
+#: Chunks that the library segments at a time.
+BLOCK_CHUNKS = 20_000
 MARK = "▁"
 _CHUNK = re.compile(r" +[^ ]*")
 _IDS = pa.list_(pa.int32())
@@ -84,8 +85,9 @@ def _cut(batches, ranges: int):
     task, number = TaskContext.get(), 0
     partition = task.partitionId() if task else 0
     for batch in slices(batches, "text", SLICE_BYTES):
-        parts = [chunks_of(t) for t in texts_of(batch).to_pylist()]
-        coded = pa.array(chain.from_iterable(parts), pa.string()).dictionary_encode()
+        # Text by text, so that one text's chunks are Python strings at a time.
+        parts = [pa.array(chunks_of(t.as_py()), pa.string()) for t in texts_of(batch)]
+        coded = pa.chunked_array(parts, pa.string()).combine_chunks().dictionary_encode()
         at = (hash_words(coded.dictionary) >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)
         by_bytes = pc.sort_indices(coded.dictionary).to_numpy()
         order = by_bytes[np.argsort(at[by_bytes], kind="stable")]
@@ -133,7 +135,9 @@ def _segment_range(model: bytes):
 
     def work(table: pa.Table) -> pa.Table:
         chunks, codes, begins = words_from([unpack(p) for p in table.column("part").to_pylist()])
-        ids = pa.array(segment(_load(model), chunks.to_pylist()), _IDS)
+        own, blocks = _load(model), range(0, len(chunks), BLOCK_CHUNKS)
+        made = [pa.array(segment(own, chunks.slice(at, BLOCK_CHUNKS).to_pylist()), _IDS) for at in blocks]
+        ids = pa.chunked_array(made, _IDS).combine_chunks()
         parts = []
         for i, j in zip(begins[:-1], begins[1:]):
             mine = ids.take(pa.array(codes[i:j]))
@@ -154,7 +158,8 @@ def _joined_ids(places: bytes, parts: list[bytes]) -> pa.ListArray:
     starts = np.cumsum(sizes) - sizes
     count = sizes[codes]
     ends = np.concatenate([[0], np.cumsum(count)])
-    at = np.arange(ends[-1]) + np.repeat(starts[codes] - ends[:-1], count)
+    at = np.repeat(starts[codes] - ends[:-1], count)
+    at += np.arange(ends[-1])
     texts = np.concatenate([[0], np.cumsum(lengths)])
     return pa.ListArray.from_arrays(pa.array(ends[texts].astype(np.int32)), pa.array(flat[at]))
 
@@ -178,7 +183,7 @@ def _through_table(narrow: DataFrame, model: bytes) -> DataFrame:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1)
                 coded = _joined_ids(row.column("places")[0].as_py(), row.column("parts")[0].as_py() or [])
-                decoded = own.decode(coded.to_pylist(), num_threads=1)
+                decoded = [own.decode(ids.as_py()) for ids in coded]
                 docs = row.column("docs").flatten()
                 yield pa.RecordBatch.from_arrays([docs, coded, pa.array(decoded, pa.string())], schema=_SCHEMA)
 
