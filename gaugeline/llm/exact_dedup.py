@@ -10,9 +10,11 @@ filter, its content leaves the shard. A filter that overflows is doubled and
 filled again from the stored digests. Shards are chosen from the number of
 digests, so one task holds about ``SHARD_KEYS`` of them at any size.
 
-Documents are brought down to one row per digest by map-side aggregation
-before they reach the index, so a text that a third of all documents share is
-one row per map task there. Text is never shuffled.
+Documents reach the index as one row per digest and batch of a map task, so a
+text that a third of all documents share is a few rows of each task there. In
+the shard the first of them is new, and each further one meets a live digest:
+the filter, the verification and the update of its group decide which document
+stays. Documents then read their group back through the filter. Text is never shuffled.
 """
 
 from __future__ import annotations
@@ -114,13 +116,22 @@ class CuckooFilter:
     def delete(self, digests: np.ndarray) -> None:
         """Take out one fingerprint of each digest; all of them must be held."""
         at, mark = _places(digests, self.buckets)
-        for a, m in zip(at, mark):
-            b = _other(np.array([a]), np.array([m]), self.buckets)[0]
-            for bucket in (a, b):
-                slot = np.flatnonzero(self.table[bucket] == m)
-                if len(slot):
-                    self.table[bucket, slot[0]] = 0
-                    break
+        left = self._clear(at, mark)
+        self._clear(_other(at, mark, self.buckets)[left], mark[left])
+
+    def _clear(self, at: np.ndarray, mark: np.ndarray) -> np.ndarray:
+        """Empty one slot with the fingerprint in each bucket; which of them found none."""
+        key = at * np.int64(1 << 16) + mark
+        order = np.argsort(key, kind="stable")
+        at, mark, key = at[order], mark[order], key[order]
+        rank = np.arange(len(key)) - np.searchsorted(key, key)
+        same = self.table[at] == mark[:, None]
+        chosen = same & (np.cumsum(same, axis=1) == (rank + 1)[:, None])
+        found = chosen.any(axis=1)
+        self.table[at[found], chosen.argmax(axis=1)[found]] = 0
+        left = np.zeros(len(order), bool)
+        left[order] = ~found
+        return left
 
 
 # -- one shard --------------------------------------------------------------
@@ -159,6 +170,16 @@ class _Shard:
         return found
 
     def insert(self, digests: np.ndarray, values: np.ndarray) -> None:
+        """Add groups; of a digest that comes several times, each further row meets the one before it."""
+        order = np.argsort(digests, kind="stable")
+        ranked = digests[order]
+        turn = np.arange(len(order)) - np.searchsorted(ranked, ranked)
+        by = order[np.argsort(turn, kind="stable")]
+        ends = np.cumsum(np.bincount(turn)) if len(turn) else []
+        for start, end in zip([0, *ends[:-1]], ends):
+            self._insert_distinct(digests[by[start:end]], values[:, by[start:end]])
+
+    def _insert_distinct(self, digests: np.ndarray, values: np.ndarray) -> None:
         found = self._find(digests)
         old = np.flatnonzero(found >= 0)
         if len(old):
@@ -211,16 +232,39 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
 
 
-def live_digests(marks: DataFrame) -> DataFrame:
-    """One row per digest: the document that stays and the number of documents.
+_GROUP = "digest binary, keep_id long, keep_len long, group_size long"
+_GROUP_ARROW = pa.schema([("digest", pa.binary()), ("keep_id", pa.int64()), ("keep_len", pa.int64()), ("group_size", pa.int64())])
+
+
+def _digest_list(digests: np.ndarray) -> list[bytes]:
+    data = digests.tobytes()
+    return [data[i : i + 32] for i in range(0, len(data), 32)]
 
-    It is the one with the most code points, then the smallest id; a null id
-    comes after all others. Aggregated on the map side, so hot digests are small.
+
+def map_groups(marks: DataFrame) -> DataFrame:
+    """``digest, keep_id, keep_len, group_size``: one row per digest and batch of a map task.
+
+    The document that stays is the one with the most code points, then the
+    smallest id; a null id comes after all others. Nothing is shuffled.
     """
-    best = F.max(F.struct("n_points", (-F.col("doc_id")).alias("neg")))
-    return marks.groupBy("digest").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size")).select(
-        "digest", (-F.col("best.neg")).alias("keep_id"), F.col("best.n_points").alias("keep_len"), "group_size"
-    )
+
+    def gather(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            digests = np.frombuffer(b"".join(batch.column("digest").to_pylist()), "S32")
+            ids = batch.column("doc_id").fill_null(NO_ID).to_numpy()
+            points = batch.column("n_points").to_numpy()
+            by = np.lexsort((ids, -points, digests))
+            ranked = digests[by]
+            head = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
+            best = by[head]
+            yield rows(
+                _GROUP_ARROW, digest=_digest_list(digests[best]), keep_id=pa.array(ids[best], mask=ids[best] == NO_ID),
+                keep_len=points[best], group_size=np.diff(np.append(head, len(by))),
+            )
+
+    return marks.select("doc_id", "n_points", "digest").mapInArrow(gather, _GROUP)
 
 
 class CuckooIndex:
@@ -259,9 +303,9 @@ class CuckooIndex:
         table = self.table.groupBy("shard").cogroup(sharded.groupBy("shard")).applyInArrow(apply, INDEX_SCHEMA)
         return CuckooIndex(hand_off(table), self.shards)
 
-    def insert(self, live: DataFrame) -> CuckooIndex:
-        """Add digests, one row each (see ``live_digests``); known ones join their group."""
-        return self._changed(live, delete=False)
+    def insert(self, groups: DataFrame) -> CuckooIndex:
+        """Add groups (see ``map_groups``; a digest may come in several rows); known digests' groups grow."""
+        return self._changed(groups, delete=False)
 
     def delete(self, digests: DataFrame) -> CuckooIndex:
         """Take the digests out of the index; those that are not live change nothing."""
@@ -271,36 +315,49 @@ class CuckooIndex:
         """The same entries dealt to as many shards as ``expected`` digests need."""
         return CuckooIndex.create(self.table.sparkSession, expected).insert(self.entries())
 
-    def lookup(self, marks: DataFrame) -> DataFrame:
-        """Rows of ``marks`` whose digest is live: through the filter, then the content."""
-        schema = pa.schema([("digest", pa.binary())])
+    def groups_of(self, marks: DataFrame) -> DataFrame:
+        """The groups of the digests in ``marks`` that are live: through the filter, then the content.
 
-        def apply(key, held, new):
+        A map task asks for a digest once per batch, and a shard answers once.
+        """
+
+        def ask(batches):
+            for batch in batches:
+                yield rows(asked, digest=batch.column("digest").unique())
+
+        def answer(key, held, new):
             if not held.num_rows or not new.num_rows:
-                return schema.empty_table()
-            given = _digests(new)
-            found = _Shard.read(held)._find(given) >= 0
-            return pa.table({"digest": new.column("digest").filter(pa.array(found))}, schema=schema)
+                return _GROUP_ARROW.empty_table()
+            shard, given = _Shard.read(held), np.unique(_digests(new))
+            at = shard._find(given)
+            given, at = given[at >= 0], at[at >= 0]
+            keep = shard.values[0, at]
+            row = rows(
+                _GROUP_ARROW, digest=_digest_list(given), keep_id=pa.array(keep, mask=keep == NO_ID),
+                keep_len=shard.values[1, at], group_size=shard.values[2, at],
+            )
+            return pa.Table.from_batches([row])
+
+        asked = pa.schema([("digest", pa.binary())])
+        wanted = marks.select("digest").mapInArrow(ask, "digest binary").select("*", self._shard())
+        return self.table.groupBy("shard").cogroup(wanted.groupBy("shard")).applyInArrow(answer, _GROUP)
 
-        asked = marks.select("digest").distinct().select("*", self._shard())
-        live = self.table.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(apply, "digest binary")
-        return marks.join(live, "digest", "left_semi")
+    def lookup(self, marks: DataFrame) -> DataFrame:
+        """Rows of ``marks`` whose digest is live."""
+        return marks.join(self.groups_of(marks), "digest", "left_semi")
 
     def entries(self) -> DataFrame:
-        schema = pa.schema([("digest", pa.binary()), ("keep_id", pa.int64()), ("keep_len", pa.int64()), ("group_size", pa.int64())])
-
         def unpack(batches):
             for batch in batches:
                 for i in range(batch.num_rows):
                     shard = _Shard.read(pa.Table.from_batches([batch.slice(i, 1)]))
                     keep = pa.array(shard.values[0], mask=shard.values[0] == NO_ID)
-                    data = shard.digests.tobytes()
                     yield rows(
-                        schema, digest=[data[j : j + 32] for j in range(0, len(data), 32)],
-                        keep_id=keep, keep_len=shard.values[1], group_size=shard.values[2],
-                    )
+                        _GROUP_ARROW, digest=_digest_list(shard.digests), keep_id=keep, keep_len=shard.values[1],
+                        group_size=shard.values[2],
+                    )
 
-        return self.table.mapInArrow(unpack, "digest binary, keep_id long, keep_len long, group_size long")
+        return self.table.mapInArrow(unpack, _GROUP)
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -311,10 +368,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     one is. A null ``doc_id`` is never chosen while its group has another id.
     """
     marks = hand_off(fingerprints(docs, id_col, text_col))
-    live = hand_off(live_digests(marks))
-    index = CuckooIndex.create(docs.sparkSession, live.count()).insert(live)
+    index = CuckooIndex.create(docs.sparkSession, marks.count()).insert(map_groups(marks))
     # A hot digest makes one side of this join large; adaptive execution splits that side.
-    return marks.join(index.entries(), "digest").select(
+    return marks.join(index.groups_of(marks), "digest").select(
         "doc_id",
         "keep_id",
         "group_size",
