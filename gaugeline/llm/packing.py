@@ -88,7 +88,10 @@ def pack(
     document. Null and empty texts have length 0 and are packed too. Repeated
     rows get slots of their own. An empty table gives an empty result.
     """
-    lengths = hand_off(docs.select(F.col(id_col).alias("doc_id"), n_tokens(F.col(text_col)).alias("n_tokens")))
+    # The row's number is written with it: rows that are alike in everything are dealt to shards by it.
+    lengths = hand_off(
+        docs.select(F.col(id_col).alias("doc_id"), n_tokens(F.col(text_col)).alias("n_tokens")).withColumn("row", F.monotonically_increasing_id())
+    )
     bins = histogram(lengths).orderBy("bin").toPandas()
     ends = choose_boundaries(bins["longest"].to_numpy(), bins["count"].to_numpy(), bins["total"].to_numpy(), buckets)
     held = np.zeros(max(1, len(ends)), np.int64)
@@ -107,9 +110,10 @@ def pack(
         "n_tokens",
         by_bucket(range(len(ends))).cast("int").alias("bucket"),
         by_bucket(ends).alias("bucket_len"),
-        F.pmod(F.xxhash64("doc_id", "n_tokens"), F.greatest(shards, F.lit(1))).alias("shard"),
+        "row",
+        F.pmod(F.xxhash64("doc_id", "n_tokens", "row"), F.greatest(shards, F.lit(1))).alias("shard"),
     )
-    order = Window.partitionBy("bucket", "shard").orderBy("doc_id", "n_tokens")
+    order = Window.partitionBy("bucket", "shard").orderBy("doc_id", "n_tokens", "row")
     place = F.row_number().over(order) - 1
     per = F.greatest(F.lit(1), F.floor(F.lit(budget) / F.greatest(F.col("bucket_len"), F.lit(1)))).cast("bigint")
     return placed.select("*", place.alias("place"), per.alias("per")).select(
