@@ -43,8 +43,8 @@ from gaugeline.llm.packed import pack, small, unpack, word_arrays, words_from
 END, START = "\n", " "  # neither can be a word
 K, HIGH = 5, 0.5
 #: Tokens of a bucket, on average.
-BUCKET_TOKENS = 3_000_000
-PACK_BYTES = 8 << 20
+BUCKET_TOKENS = 2_500_000
+PACK_BYTES = 5 << 20
 MAX_FREQUENT = 1 << 16
 MIN_FREQUENT = 64
 
@@ -96,6 +96,10 @@ class Unigrams:
     words: pa.Array
     counts: np.ndarray
 
+    def plain(self) -> tuple:
+        """Its fields, for a broadcast: workers need not know this class by name."""
+        return self.tokens, self.types, self.docs, self.low, self.unknown, self.words, self.counts
+
     def log_p(self, count: np.ndarray) -> np.ndarray:
         """log10 P(w) from c(w)."""
         known = np.log10(discounted(np.maximum(count, 1), self.low) / max(self.tokens, 1))
@@ -217,10 +221,11 @@ def _unigrams(words: DataFrame) -> Unigrams:
 
 def _send_pairs(narrow: DataFrame, uni: Unigrams, hot: tuple[pa.Array, pa.Array], buckets: int) -> DataFrame:
     """Parts: the pairs of each slice by bucket, its texts with what is known of them already, hot counts."""
-    shared = narrow.sparkSession.sparkContext.broadcast((uni, hot))
+    shared = narrow.sparkSession.sparkContext.broadcast((uni.plain(), hot))
 
     def send(batches):
-        uni, (hot_w, hot_v) = shared.value
+        known_words, (hot_w, hot_v) = shared.value
+        uni = Unigrams(*known_words)
         task = TaskContext.get()
         number = (task.partitionId() if task else 0) << 32
         for batch in slices(batches, limit=PACK_BYTES):
@@ -275,10 +280,10 @@ def _send_pairs(narrow: DataFrame, uni: Unigrams, hot: tuple[pa.Array, pa.Array]
 
 def _in_buckets(parts: DataFrame, uni: Unigrams, buckets: int) -> DataFrame:
     """Parts: sums per text, bigrams, unseen pairs by context, counts of counts; texts pass through."""
-    shared = parts.sparkSession.sparkContext.broadcast(uni)
+    shared = parts.sparkSession.sparkContext.broadcast(uni.plain())
 
     def resolve(table):
-        uni = shared.value
+        uni = Unigrams(*shared.value)
         kinds, blocks, data = (table.column(c).to_pylist() for c in ("kind", "block", "data"))
         bucket = table.column("bucket")[0].as_py()
         out = [(b, k, n, d) for b, k, n, d in zip([bucket] * len(kinds), kinds, blocks, data) if k != PAIRS]
@@ -286,27 +291,31 @@ def _in_buckets(parts: DataFrame, uni: Unigrams, buckets: int) -> DataFrame:
         if parts:
             numbers = [b for b, k in zip(blocks, kinds) if k == PAIRS]
             vocab, code, begins = words_from([(p[0], p[1]) for p in parts])
-            w = np.concatenate([code[b + p[2].astype(np.int64)] for p, b in zip(parts, begins)])
-            v = np.concatenate([code[b + p[3].astype(np.int64)] for p, b in zip(parts, begins)])
-            text = np.concatenate([p[4].astype(np.int64) for p in parts])
+            code = code.astype(np.int32)
+            w = np.concatenate([code[b + p[2].astype(np.int32)] for p, b in zip(parts, begins)])
+            v = np.concatenate([code[b + p[3].astype(np.int32)] for p, b in zip(parts, begins)])
             learned = np.concatenate([p[5] for p in parts]) == 0
-            block = np.repeat(np.arange(len(parts)), [len(p[4]) for p in parts])
+            ends = np.cumsum([len(p[4]) for p in parts])
             here = np.bincount(w[learned], minlength=len(vocab)).astype(np.int64)
             known = uni.known_counts(vocab)
             c = np.where(known >= 0, known, here)  # a rare word's pairs are all here
-            pair, at = np.unique(w * len(vocab) + v, return_inverse=True)
+            pair, at = np.unique(w * np.int64(len(vocab)) + v, return_inverse=True)
+            at = at.astype(np.int32)
             r_of = np.bincount(at[learned], minlength=len(pair)).astype(np.int64)
-            r, cw = r_of[at], c[w]
-            is_word = ~np.asarray(pc.equal(vocab, END))[w]
-            unseen = r == 0
-            high = (r > K) * np.log10(np.maximum(r, 1) - HIGH)
-            a_sum = high - is_word * np.log10(np.maximum(cw, 1)) + np.where(unseen, uni.log_p(cw), 0.0)
-            keys = block << np.int64(32) | text
-            used, sums = _group_sums(keys, np.log10(cw + 0.1), a_sum, cw > 0, *((r == i) for i in range(1, K + 1)))
-            for lo, hi in _split(used >> np.int64(32)):
-                ints = [small(s[lo:hi].astype(np.int64)) for s in sums[2:]]
-                body = pack(small(used[lo:hi] & np.int64(0xFFFFFFFF)), sums[0][lo:hi].astype(np.float32), sums[1][lo:hi].astype(np.float32), *ints)
-                out.append((bucket, SUMS, numbers[int(used[lo] >> np.int64(32))], body))
+            unseen = (r_of == 0)[at]
+            # By distinct word and distinct pair; tokens look these up part by part.
+            is_word = ~np.asarray(pc.equal(vocab, END))
+            log_base, log_count, log_p = np.log10(c + 0.1), is_word * np.log10(np.maximum(c, 1)), uni.log_p(c)
+            high = (r_of > K) * np.log10(np.maximum(r_of, 1) - HIGH)
+            for lo, hi, part, number in zip([0, *ends[:-1]], ends, parts, numbers):
+                if lo == hi:
+                    continue
+                ww, pairs_at, (used, text) = w[lo:hi], at[lo:hi], np.unique(part[4], return_inverse=True)
+                r = r_of[pairs_at]
+                total = lambda x: np.bincount(text, x, len(used))
+                a_sum = total(high[pairs_at] - log_count[ww] + np.where(r == 0, log_p[ww], 0.0))
+                ints = [small(total(x).astype(np.int64)) for x in (c[ww] > 0, *((r == i) for i in range(1, K + 1)))]
+                out.append((bucket, SUMS, number, pack(small(used.astype(np.int64)), total(log_base[ww]), a_sum, *ints)))
             live = np.flatnonzero(r_of)
             n = np.bincount(np.minimum(r_of[live], K + 2), minlength=K + 3)[1 : K + 2]
             out.append((bucket, COUNTS, 0, pack(n.astype(np.int64))))
@@ -319,17 +328,21 @@ def _in_buckets(parts: DataFrame, uni: Unigrams, buckets: int) -> DataFrame:
                 out.append((bucket, BIGRAMS, 0, pack(*word_arrays(held), small(lw), small(lv), small(r_of[live]), small(cw_used))))
             names = vocab.cast(pa.string())
             frequent = (known >= 0) | np.asarray(pc.equal(names, START))
+            missed = np.flatnonzero(unseen)
+            block = np.searchsorted(ends, missed, side="right")
+            text = np.concatenate([p[4] for p in parts])[missed].astype(np.int64)
+            mv = v[missed]
             for later in (True, False):
-                miss = np.flatnonzero(unseen & (frequent[v] == later))
-                if not len(miss):
+                mine = np.flatnonzero(frequent[mv] == later)
+                if not len(mine):
                     continue
                 # By block, to be resolved there, or by the bucket of the context.
-                to = block[miss] if later else _bucket(hash_words(names), buckets)[v[miss]]
-                by = np.lexsort((v[miss], to))
-                miss, to = miss[by], to[by]
+                to = block[mine] if later else _bucket(hash_words(names), buckets)[mv[mine]]
+                by = np.lexsort((mv[mine], to))
+                mine, to = mine[by], to[by]
                 for lo, hi in _split(to):
-                    m = miss[lo:hi]
-                    words, local = np.unique(v[m], return_inverse=True)
+                    m = mine[lo:hi]
+                    words, local = np.unique(mv[m], return_inverse=True)
                     number = np.array(numbers, np.int64)[block[m]]
                     body = pack(*word_arrays(names.take(pa.array(words))), small(local), small(number), small(text[m]))
                     out.append((bucket, LATER, int(number[0]), body) if later else (int(to[lo]), UNSEEN, 0, body))
@@ -344,10 +357,10 @@ def _in_buckets(parts: DataFrame, uni: Unigrams, buckets: int) -> DataFrame:
 
 def _contexts(bigrams: DataFrame, uni: Unigrams, low: np.ndarray, buckets: int) -> DataFrame:
     """One part per bucket: contexts with c(v) and log10 of alpha(v)."""
-    shared = bigrams.sparkSession.sparkContext.broadcast(uni)
+    shared = bigrams.sparkSession.sparkContext.broadcast(uni.plain())
 
     def spread(batches):
-        uni = shared.value
+        uni = Unigrams(*shared.value)
         for batch in batches:
             for bucket_data in batch.column("data"):
                 length, data, w, v, r, c = unpack(bucket_data.as_py())
@@ -414,7 +427,7 @@ def _resolve_unseen(unseen: DataFrame, contexts: DataFrame) -> DataFrame:
             numbers, place = np.unique(block, return_inverse=True)
             used, (total,) = _group_sums(place.astype(np.int64) << np.int64(32) | text, value[v])
             for lo, hi in _split(used >> np.int64(32)):
-                out.append((0, ADDED, int(numbers[int(used[lo] >> np.int64(32))]), pack(small(used[lo:hi] & np.int64(0xFFFFFFFF)), total[lo:hi].astype(np.float32))))
+                out.append((0, ADDED, int(numbers[int(used[lo] >> np.int64(32))]), pack(small(used[lo:hi] & np.int64(0xFFFFFFFF)), total[lo:hi])))
         columns = [pa.array(c, f.type) for c, f in zip(zip(*out), _PART_ARROW)] if out else [pa.array([], f.type) for f in _PART_ARROW]
         return pa.Table.from_arrays(columns, schema=_PART_ARROW)
 
@@ -428,10 +441,11 @@ _SCORES = pa.schema([
 
 
 def _by_block(parts: DataFrame, uni: Unigrams, low: np.ndarray, hot_counts: np.ndarray, frequent) -> DataFrame:
-    shared = parts.sparkSession.sparkContext.broadcast((uni, low, hot_counts, frequent))
+    shared = parts.sparkSession.sparkContext.broadcast((uni.plain(), low, hot_counts, frequent))
 
     def finish(table):
-        uni, low, hot_counts, frequent = shared.value
+        known_words, low, hot_counts, frequent = shared.value
+        uni = Unigrams(*known_words)
         kinds = table.column("kind").to_pylist()
         parts = [(k, unpack(d)) for k, d in zip(kinds, table.column("data").to_pylist())]
         ids, named, held, n, base, less, known, text, pair, times = next(p for k, p in parts if k == TEXTS)
