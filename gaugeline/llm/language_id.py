@@ -24,8 +24,6 @@ BUCKETS = 1 << 16
 #: Languages that a model may have; more are an error, as the matrix goes to every worker.
 MAX_LANGS = 1_000
 SMOOTHING = 0.5
-#: N-grams whose evidence counts in full; a longer text is scored as strongly as one of this length.
-EVIDENCE = 200
 _CHUNK = 1 << 12
 _LETTER = re.compile(r"[^\W\d_]")
 _SEEDS = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35)
@@ -83,8 +81,6 @@ class LanguageModel:
         for codes, ends in zip(grams, offsets):
             for j in range(len(self.langs)):
                 scores[:, j] += sum_by(self.table[j][codes], ends)
-        n = sum(np.diff(ends) for ends in offsets)
-        scores *= np.minimum(1.0, EVIDENCE / np.maximum(n, 1))[:, None]
         scores += self.prior
         scores = np.exp(scores - scores.max(axis=1, keepdims=True))
         scores /= scores.sum(axis=1, keepdims=True)
