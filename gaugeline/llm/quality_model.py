@@ -139,8 +139,10 @@ def fit(
 ) -> FactorisationMachine:
     """Fit to labelled documents whose (label table's) id passes ``where``.
 
-    Rows with a null id or label are not used. Without any row the model gives
-    0.5 plus nothing learned; with one class only it learns that class.
+    Rows with a null id or label are not used. Of documents with one id, the text
+    of the smallest hash is used, so that no more than ``sample`` rows are
+    collected. Without any row the model gives 0.5 plus nothing learned; with
+    one class only it learns that class.
     """
     chosen = (
         labels.where(where & F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
@@ -163,6 +165,9 @@ def fit(
     found = (
         _narrow(docs, id_col, text_col, chars_col)
         .join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "y")
+        .agg(F.min(F.struct(F.xxhash64("text").alias("__hash"), "text", "n_chars")).alias("__row"))
+        .select("doc_id", "y", "__row.text", "__row.n_chars")
         .mapInArrow(make, "doc_id long, y double, ids array<int>, x array<double>")
         .toArrow()
         .sort_by([("doc_id", "ascending"), ("y", "ascending")])
