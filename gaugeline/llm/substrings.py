@@ -35,9 +35,9 @@ from gaugeline.llm.packed import pack, small, unpack, word_arrays, words_from
 WINDOW = 50
 SEED = 5
 #: Words that a bucket's windows come to, on average.
-BUCKET_WORDS = 1_200_000
+BUCKET_WORDS = 800_000
 #: Text bytes that are packed together for the buckets.
-PACK_BYTES = 8 << 20
+PACK_BYTES = 6 << 20
 #: Bytes of text that a word comes to, for the number of slices.
 WORD_BYTES = 8
 #: Frequent minimisers are those found in more than this many runs, and at most so many of them.
