@@ -24,7 +24,8 @@ from gaugeline.llm.common import hand_off, slices, texts_of
 from gaugeline.llm.text_stats import base_stats
 
 MIN_WORDS = 50
-#: Soft rules, in hundredths: symbols per word, lines that repeat, distinct words per word.
+#: Soft rules, in hundredths: symbols per word, lines that repeat, distinct words per word (counted in
+#: stretches of ``DISTINCT_WINDOW`` words over the whole text, as the share falls with length in any text).
 MAX_SYMBOLS, MAX_DUP_LINES, MIN_DISTINCT = 10, 40, 10
 MIN_WORD_CHARS, MAX_WORD_CHARS = 2, 12
 TRUST_RATE, REJECT_RATE = 0.02, 0.8

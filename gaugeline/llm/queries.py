@@ -14,6 +14,7 @@ from gaugeline.llm import (
     substrings, vector_codes,
 )
 from gaugeline.llm.common import crc_of
+from gaugeline.llm.text_stats import DISTINCT_WINDOW
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -63,12 +64,12 @@ s AS (
   SELECT d.doc_id, host, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(ls) AS n_lines,
          len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
-         len(list_distinct(words)) AS n_distinct_words
+         list_sum(list_transform(range(0, len(words), {DISTINCT_WINDOW}), lambda i: len(list_distinct(words[i + 1 : i + {DISTINCT_WINDOW}])))) AS n_distinct_words
   FROM d JOIN lines USING (doc_id) LEFT JOIN repeats USING (doc_id)),
 f AS (
   SELECT *, n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed,
          100 * n_symbols > {quality_rules.MAX_SYMBOLS} * n_words OR 100 * n_dup_lines > {quality_rules.MAX_DUP_LINES} * n_lines
-         OR 100 * n_distinct_words < {quality_rules.MIN_DISTINCT} * n_words
+         OR 100 * coalesce(n_distinct_words, 0) < {quality_rules.MIN_DISTINCT} * n_words
          OR word_chars < {quality_rules.MIN_WORD_CHARS} * n_words OR word_chars > {quality_rules.MAX_WORD_CHARS} * n_words AS soft_failed
   FROM s),
 hosts AS (SELECT host, count(*) AS n, sum((base_failed OR soft_failed)::BIGINT) AS k FROM f GROUP BY 1),

@@ -9,6 +9,8 @@ import pyarrow.compute as pc
 from gaugeline.llm.common import hash_words, ngram_hash, owners, starts_that_fit, sum_by, words_of
 
 SYMBOLS = "[#*$%&|<>]"
+#: Words of a stretch in which distinct words are counted, so that a text's length does not decide.
+DISTINCT_WINDOW = 4_000
 
 
 def repeated_window_words(codes: np.ndarray, offsets: np.ndarray, vocab: pa.Array, n: int = 3) -> np.ndarray:
@@ -45,13 +47,23 @@ def duplicate_lines(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return count, count - np.bincount(distinct, minlength=len(texts)).astype(np.int64)
 
 
+def distinct_in_stretches(codes: np.ndarray, offsets: np.ndarray, window: int) -> np.ndarray:
+    """Per text: the distinct words of each stretch of ``window`` words (the last may be shorter), summed."""
+    n = np.diff(offsets)
+    first = np.concatenate([[0], np.cumsum(-(-n // window))])  # stretches before each text
+    of = owners(offsets)
+    stretch = first[of] + (np.arange(len(codes)) - offsets[:-1][of]) // window
+    width = int(codes.max(initial=0)) + 1
+    used = np.unique(stretch * width + codes) // width
+    return sum_by(np.bincount(used, minlength=int(first[-1])).astype(np.int64), first)
+
+
 def base_stats(texts: pa.Array) -> dict[str, np.ndarray]:
-    """Per text: words, code points in words, symbols, lines, duplicate lines, repeated words."""
+    """Per text: words, code points in words, symbols, lines, duplicate lines, repeated words, distinct words by stretch."""
     codes, offsets, vocab = words_of(texts)
     lines, repeated = duplicate_lines(texts)
     length = pc.utf8_length(vocab).to_numpy(zero_copy_only=False).astype(np.int64)
     symbols = pc.count_substring_regex(texts, SYMBOLS).to_numpy(zero_copy_only=False)
-    distinct = np.unique(owners(offsets) * (len(vocab) + 1) + codes) // (len(vocab) + 1)
     return {
         "n_words": np.diff(offsets),
         "word_chars": sum_by(length[codes], offsets),
@@ -59,5 +71,5 @@ def base_stats(texts: pa.Array) -> dict[str, np.ndarray]:
         "n_lines": lines,
         "n_dup_lines": repeated,
         "n_repeat_words": repeated_window_words(codes, offsets, vocab),
-        "n_distinct_words": np.bincount(distinct, minlength=len(texts)).astype(np.int64),
+        "n_distinct_words": distinct_in_stretches(codes.astype(np.int64), offsets.astype(np.int64), DISTINCT_WINDOW),
     }

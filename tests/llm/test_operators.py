@@ -114,6 +114,19 @@ def test_rules_edges(make_docs):
     assert quality_rules.judge_documents(make_docs([])).count() == 0 and quality_rules.keep_documents(make_docs([])).count() == 0
 
 
+def test_length_does_not_decide_distinct_words(make_docs):
+    """A book of clean stretches stays, one that says little more than its first words goes."""
+    rng = np.random.default_rng(5)
+    book = " ".join(f"word{i}" for i in rng.integers(0, 1500, 120_000))  # a share of 0.0125 over all, 0.35 a stretch
+    poor = " ".join(f"word{i}" for i in rng.integers(0, 300, 120_000))
+    rows = [(1, book, "en", "watched.org", 1), (2, poor, "en", "watched.org", 1), (3, book + "\n" + poor, "en", "watched.org", 1)]
+    got = {r.doc_id: r for r in quality_rules.judge_documents(make_docs(rows)).collect()}
+    assert all(r.host_verdict == "watched" and not r.base_failed and r.n_words % 120_000 == 0 for r in got.values())
+    stretches = lambda t: sum(len(set(words(t)[i : i + 4000])) for i in range(0, len(words(t)), 4000))
+    assert [got[i].n_distinct_words for i in (1, 2, 3)] == [stretches(r[1]) for r in rows]
+    assert got[1].kept and not got[2].kept and got[3].kept
+
+
 def test_machine_equals_all_pairs():
     """The sum-of-squares form is the sum over all pairs, and fitting lowers the loss."""
     texts = pa.array(["Good words stand here", "", "junk ### $$$ junk | junk", "Numbers 12 and 13."])
