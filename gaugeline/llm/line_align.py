@@ -47,9 +47,8 @@ from gaugeline.llm.common import NO_ID, hand_off, hash_words, mix, slices, sum_b
 EVIDENCE = 4.0
 #: Words that a deleted block has at least.
 BLOCK_WORDS = 8
-#: Prefix lines in a range of documents, on average, and ranges at most.
-RANGE_ROWS = 20_000
-MAX_RANGES = 1_000
+#: Prefix lines in a range of documents, on average.
+RANGE_ROWS = 200_000
 _P = "__lines_"
 
 
@@ -197,22 +196,24 @@ def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return narrow.mapInArrow(split, "doc long, key long, seq long, lines array<long>, words array<int>")
 
 
+def in_ranges(posts: DataFrame) -> DataFrame:
+    """``posts`` with the number of their ``range`` of documents, written once so that it stays.
+
+    Ranges grow in number with the posts and not in size; documents without an id
+    share one order key and are told apart by ``key``. A document is in one range.
+    """
+    ranges = posts.count() // RANGE_ROWS + 1
+    return hand_off(posts.repartitionByRange(ranges, "doc", "key").withColumn("range", F.spark_partition_id()))
+
+
 def numbered(posts: DataFrame) -> DataFrame:
     """``line, doc, key, at``: each document's number, from 1, among those with the line.
 
     Numbers are counted in ranges of documents and summed over ranges, so no task
     numbers all documents of a frequent line.
     """
-    ranges = min(MAX_RANGES, posts.count() // RANGE_ROWS + 1)
     place = F.struct("doc", "key")
-    cuts = posts.select("doc", "key").distinct().sample(False, 0.1, 7) if ranges > 1 else None
-    cuts = cuts.agg(F.percentile_approx("doc", [i / ranges for i in range(1, ranges)], 10_000)).first()[0] if cuts is not None else None
-    of = F.lit(0)
-    if cuts:
-        of = F.size(F.filter(F.array(*(F.lit(c) for c in sorted(set(cuts)))), lambda c: c <= F.col("doc")))
-        # Documents without an id share one order key: their hash tells their range.
-        of = of * 64 + F.when(F.col("doc") == NO_ID, F.shiftright("key", 58) + 32).otherwise(0)
-    posts = posts.withColumn("range", of)
+    posts = in_ranges(posts)
     inner = posts.withColumn("within", F.row_number().over(Window.partitionBy("line", "range").orderBy(place)))
     sizes = posts.groupBy("line", "range").agg(F.count(F.lit(1)).alias("n"))
     before = F.sum("n").over(Window.partitionBy("line").orderBy("range")) - F.col("n")

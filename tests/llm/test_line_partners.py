@@ -1,8 +1,12 @@
 """Line alignment against a plain version that compares with every earlier document."""
 
+from collections import Counter
+
 from gaugeline.llm import line_align as la
+from gaugeline.llm.common import NO_ID
 from test_line_align import brute, corpus
 
+
 def same(make_docs, rows):
     got = {r.doc_id: r.text for r in la.dedup_lines(make_docs(rows), drop_emptied=False).collect()}
     assert got == brute(rows)
@@ -14,6 +18,19 @@ def test_every_earlier_document(make_docs, monkeypatch):
     same(make_docs, corpus(2))
 
 
+def test_ranges_grow_in_number_not_in_size(spark, monkeypatch):
+    """A line of all documents, more than 1,000 ranges of them, an eighth of them without an id."""
+    monkeypatch.setattr(la, "RANGE_ROWS", 2)
+    n = 2_400
+    rows = [(7, NO_ID if i % 8 == 0 else i, i * 7919 % n) for i in range(n)] + [(9, 1, 7919 % n)]
+    posts = spark.createDataFrame(rows, "line long, doc long, key long").repartition(3)
+    held = Counter(r["range"] for r in la.in_ranges(posts).collect())
+    assert len(held) > 1_000 and max(held.values()) <= 8
+    got = sorted(map(tuple, la.numbered(posts).collect()))
+    places = sorted({r[1:] for r in rows if r[0] == 7})
+    assert got == sorted([*((7, *p, i) for i, p in enumerate(places, 1)), (9, 1, 7919 % n, 1)])
+
+
 def test_evidence_of_one_pair_from_lines_first_seen_elsewhere(make_docs):
     """Documents 60 and 61 share two lines; each was first seen in another document."""
     one, two = "first shared line of quite a few words here", "second shared line of quite a few words here"
