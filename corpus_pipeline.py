@@ -2,6 +2,8 @@
 
 Each stage takes what the one before it kept. All but the last return the
 columns of ``documents``; where a stage changes texts, ``n_chars`` follows.
+Stages pass further columns through, whatever their names; tables without rows
+give tables without rows.
 """
 
 from __future__ import annotations
@@ -19,29 +21,47 @@ def _measured(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules and their hosts' verdicts keep."""
+    """Documents that the rules and their hosts' verdicts keep.
+
+    Null, empty and short texts fail the base rules; a null source is the host
+    without a name. Repeated rows are judged, and count for their host, each.
+    """
     return quality_rules.keep_documents(docs)
 
 
 def align_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that align with an earlier document's are cut; documents without any line left go."""
+    """Lines that align with an earlier document's are cut; documents that lose their last line go.
+
+    Documents without an id come last. Rows of one id take nothing from each other.
+    Null texts stay null, and texts that never had a line stay.
+    """
     return _measured(line_align.dedup_lines(docs), docs.columns)
 
 
 def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the one with the smallest id."""
+    """One document of each group of near duplicates stays: the one with the smallest id.
+
+    All rows of that id stay. Rows without an id, a text or a word are in no group and stay.
+    """
     return signature_join.keep_representatives(docs)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that an earlier document has are cut; documents that were nothing else go."""
+    """Passages that an earlier document has are cut; documents that were nothing else go.
+
+    Documents without an id come last and, like rows of one id, take nothing from
+    each other. Null and empty texts stay.
+    """
     cut = substrings.remove_repeats(docs, prefix="__spans_")
     left = cut.where("__spans_n_words = 0 OR __spans_n_removed < __spans_n_words")
     return _measured(left, docs.columns)
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Length buckets with the least padding, and batches within a token budget."""
+    """Length buckets with the least padding, and batches within a token budget.
+
+    Every row, repeated ones and those without id or text (length 0) included, gets a slot.
+    """
     return packing.pack(docs)
 
 
