@@ -21,8 +21,8 @@ Pairs that cannot take anything are left out, by two exact bounds:
 
 The documents with a line in their prefix are numbered in order. Documents that
 are not done meet the holders of their prefix lines in rounds, the first of them
-and then twice as many each time, until all are done or have met all earlier
-holders. A near copy is done once it has met the few that hold its variants, so
+and then four times as many in all each time, until all are done or have met all
+earlier holders; a round reads only what still waits and the holders it meets. A near copy is done once it has met the few that hold its variants, so
 large groups do not make all their pairs. The first copy of everything stays.
 Hot lines meet in plain equi-joins, which adaptive execution splits, and are
 numbered in ranges of documents.
@@ -284,26 +284,30 @@ def aligned_deletions(firsts: DataFrame, classes: int, evidence: float, block_wo
                 [pa.array(doc, pa.int64()), pa.array(key, pa.int64()), pa.array(found, pa.list_(pa.int32()))], names=["doc", "key", "gone"]
             )
 
-    lost, low = [], 1
-    met = holders.select(F.col("line").alias("l"), F.col("at").alias("place"), F.col("doc").alias("other_doc"), F.col("key").alias("other_key"))
+    lost, low, top = [], 1, 1
+    waiting = holders
+    later = hand_off(docs.join(open_lines.select(*ids), ids, "left_semi"))
     theirs = docs.select(F.col("doc").alias("other_doc"), F.col("key").alias("other_key"), F.col("lines").alias("other"))
     while True:
-        waiting = holders.where(F.col("at") > low).join(open_lines.select(*ids), ids)
-        places = F.sequence(F.lit(low).cast("long"), F.least(F.lit(2 * low - 1).cast("long"), F.col("at") - 1))
-        pairs = waiting.select(*ids, "line", F.explode(places).alias("place"))
-        pairs = hand_off(
-            pairs.join(met, (F.col("line") == F.col("l")) & (pairs["place"] == met["place"])).select(*ids, "other_doc", "other_key").distinct()
-        )
-        if pairs.isEmpty():
+        waiting = hand_off(waiting.where(F.col("at") > low).join(open_lines.select(*ids), ids, "left_semi"))
+        if waiting.isEmpty():
             break
-        both = pairs.join(docs.join(open_lines, ids), ids).join(theirs, ["other_doc", "other_key"])
+        places = F.sequence(F.lit(low).cast("long"), F.least(F.lit(top).cast("long"), F.col("at") - 1))
+        met = holders.where(F.col("at").between(low, top)).select(
+            F.col("line").alias("l"), F.col("at").alias("p"), F.col("doc").alias("other_doc"), F.col("key").alias("other_key")
+        )
+        # Estimates do not see what explode makes: a merge join, or it might be broadcast.
+        pairs = waiting.select(*ids, "line", F.explode(places).alias("place")).hint("merge")
+        pairs = pairs.join(met, (F.col("line") == F.col("l")) & (F.col("place") == F.col("p")))
+        pairs = hand_off(pairs.select(*ids, "other_doc", "other_key").distinct())
+        both = pairs.join(later.join(open_lines, ids), ids).join(theirs, ["other_doc", "other_key"])
         found = both.select(*ids, "lines", "words", "shared", "held", "open", "other").mapInArrow(align, "doc long, key long, gone array<int>")
         found = hand_off(found.groupBy(*ids).agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone")))
         lost.append(found)
         open_lines = open_lines.join(found, ids, "left")
         still = F.array_except("open", F.coalesce("gone", F.array().cast("array<int>")))
         open_lines = hand_off(open_lines.select(*ids, still.alias("open")).where(F.size("open") > 0))
-        low *= 2
+        low, top = top + 1, 4 * top + 3
     out = spark.createDataFrame([], "doc long, key long, gone array<int>") if not lost else lost[0]
     for more in lost[1:]:
         out = out.union(more)
